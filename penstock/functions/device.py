@@ -6,6 +6,8 @@ inside whole-stage codegen on a batch frame and on a stream, with no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,25 +31,6 @@ PAYLOAD_NOT_OBJECT = "payload not an object"
 
 CORRUPT = "_corrupt_record"
 
-# Leaves are strings: an id may be a number or a text, and a top-level
-# timestamp that nobody reads must not make a row invalid.
-_LEAF = T.StringType()
-PAYLOAD_SCHEMA = T.StructType([
-    T.StructField("id", _LEAF),
-    T.StructField("status", _LEAF),
-    T.StructField("temperature", _LEAF),
-    T.StructField("voltage", _LEAF),
-])
-EVENT_SCHEMA = T.StructType([
-    T.StructField("event", _LEAF),
-    T.StructField("timestamp", _LEAF),
-    T.StructField("payload", PAYLOAD_SCHEMA),
-    T.StructField(CORRUPT, T.StringType()),
-])
-_ENVELOPE_SCHEMA = T.StructType([
-    T.StructField("payload", T.StringType()),
-    T.StructField(CORRUPT, T.StringType()),
-])
 JSON_OPTIONS = {"columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"}
 
 
@@ -55,18 +38,41 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_events(df: DataFrame, value: str = "value") -> DataFrame:
+def event_schema(*payload: str) -> T.StructType:
+    """Schema with the payload fields asked for.
+
+    Leaves are strings: an id may be a number or a text. Fields nobody reads
+    stay out (they cannot make a row invalid, and each costs parsing time).
+    """
+    fields = [T.StructField(name, T.StringType()) for name in payload]
+    return T.StructType([
+        T.StructField("event", T.StringType()),
+        T.StructField("payload", T.StructType(fields)),
+        T.StructField(CORRUPT, T.StringType()),
+    ])
+
+
+def parse_events(df: DataFrame, *payload: str, value: str = "value") -> DataFrame:
     """Add ``parsed`` (the event struct) and ``ok`` (parsed, and payload is an object)."""
-    parsed = df.withColumn("parsed", F.from_json(F.col(value), EVENT_SCHEMA, JSON_OPTIONS))
+    schema = event_schema(*(payload or ("id", "status", "temperature", "voltage")))
+    parsed = df.withColumn("parsed", once(F.from_json(F.col(value), schema, JSON_OPTIONS)))
     ok = F.col("parsed.payload").isNotNull() & F.col(f"parsed.{CORRUPT}").isNull()
     return parsed.withColumn("ok", ok)
 
 
-def json_keys(text: Column | str, *keys: str) -> list[Column]:
-    """Top-level keys of a JSON object text, one string column each."""
+def once(costly: Column) -> Column:
+    """The same value, computed once per row.
+
+    A filter on a parsed field would otherwise be pushed below the parse and
+    repeat it for each field it names; it is not pushed below a generator.
+    """
+    return F.explode(F.array(costly))
+
+
+def json_keys(df: DataFrame, text: str, *keys: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Top-level keys of a JSON object text as string columns."""
     schema = T.StructType([T.StructField(k, T.StringType()) for k in keys])
-    obj = F.from_json(_col(text), schema)
-    return [obj[k].alias(k) for k in keys]
+    return df.select(*keep, once(F.from_json(F.col(text), schema)).alias("_object")).select(*keep, "_object.*")
 
 
 def full_report() -> Column:
@@ -98,16 +104,19 @@ def failed_whole(value: Column | str = "value") -> Column:
     return F.concat(F.lit(FAILED_SHORT), _col(value))
 
 
-def failure_reason(value: str = "value") -> Column:
-    """Why a bad message is bad. Meant for rows where ``ok`` is false."""
-    envelope = F.from_json(F.col(value), _ENVELOPE_SCHEMA, JSON_OPTIONS)
-    return (
+def with_failure_reason(bad: DataFrame, value: str = "value") -> DataFrame:
+    """Add ``reason``: why each of these bad messages is bad."""
+    schema = T.StructType([T.StructField("payload", T.StringType()), T.StructField(CORRUPT, T.StringType())])
+    parsed = bad.withColumn("_envelope", once(F.from_json(F.col(value), schema, JSON_OPTIONS)))
+    unreadable = (F.col("_envelope").isNull() | F.col(f"_envelope.{CORRUPT}").isNotNull()
+                  | (F.trim(F.col(value)) == ""))
+    reason = (
         F.when(F.col(value).isNull(), F.lit(NULL_MESSAGE))
-        .when(envelope[CORRUPT].isNotNull() | envelope.isNull() | (F.trim(F.col(value)) == ""),
-              F.lit(INVALID_JSON))
-        .when(envelope["payload"].isNull(), F.lit(PAYLOAD_MISSING))
+        .when(unreadable, F.lit(INVALID_JSON))
+        .when(F.col("_envelope.payload").isNull(), F.lit(PAYLOAD_MISSING))
         .otherwise(F.lit(PAYLOAD_NOT_OBJECT))
     )
+    return parsed.withColumn("reason", reason).drop("_envelope")
 
 
 def report_full(messages: DataFrame, *keep: str) -> DataFrame:
@@ -121,21 +130,21 @@ def report_full(messages: DataFrame, *keep: str) -> DataFrame:
 
 def report_short(messages: DataFrame, *keep: str) -> DataFrame:
     """One line per message: the three-field report, or the failure with the whole text."""
-    parsed = parse_events(messages.where(F.col("value").isNotNull()))
+    parsed = parse_events(messages.where(F.col("value").isNotNull()), "id", "status")
     return parsed.select(*keep, F.when(F.col("ok"), short_report()).otherwise(failed_whole()).alias("report"))
 
 
 def report_client(messages: DataFrame, *keep: str) -> DataFrame:
     """The client text for readable messages only; the others appear in quarantine."""
-    parsed = parse_events(messages)
+    parsed = parse_events(messages, "id", "status")
     return parsed.where("ok").select(*keep, client_report().alias("report"))
 
 
 def quarantine(messages: DataFrame, *keep: str) -> DataFrame:
     """Unreadable messages with reason, raw text and both failure texts."""
-    bad = parse_events(messages).where(~F.col("ok"))
-    return bad.select(*keep, "value", failure_reason().alias("reason"),
-                      failed_excerpt().alias("excerpt_text"), failed_whole().alias("whole_text"))
+    bad = parse_events(messages, "id").where(~F.col("ok"))
+    return with_failure_reason(bad).select(*keep, "value", "reason", failed_excerpt().alias("excerpt_text"),
+                                           failed_whole().alias("whole_text"))
 
 
 def event_json(event: Column, timestamp: Column, **payload: Column) -> Column:

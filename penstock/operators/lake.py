@@ -42,24 +42,24 @@ def archive_max(threshold: Column) -> Column:
     return archive_min(threshold) + 20
 
 
-def _ranked_commits(commits: DataFrame, limits: DataFrame, table: str, commit: str) -> DataFrame:
-    """Distinct commits of each table numbered from the newest, with the table's limits.
+def _timeline(commits: DataFrame, table: str, commit: str) -> DataFrame:
+    """Distinct commits of each table, numbered from the newest, with the table's total.
 
     The distinct runs first, with map-side combine, so a table with a third of
     all versions contributes its commits here, not its versions.
     """
-    newest_first = Window.partitionBy(table).orderBy(F.col(commit).desc())
+    of_table = Window.partitionBy(table)
     return (
         commits.select(table, commit).distinct()
-        .withColumn("age_rank", F.row_number().over(newest_first))
-        .join(limits, table)
+        .withColumn("age_rank", F.row_number().over(of_table.orderBy(F.col(commit).desc())))
+        .withColumn("total", F.count("*").over(of_table))
     )
 
 
 def oldest_retained(commits: DataFrame, limits: DataFrame, table: str = "table_id", commit: str = "commit",
                     retained: str = "commits_retained") -> DataFrame:
     """The N-th newest commit of each table; tables with fewer commits are absent."""
-    ranked = _ranked_commits(commits, limits, table, commit)
+    ranked = _timeline(commits, table, commit).join(limits, table)
     return ranked.where(F.col("age_rank") == F.col(retained)).select(table, F.col(commit).alias("oldest"))
 
 
@@ -68,24 +68,26 @@ def clean_plan(versions: DataFrame, oldest: DataFrame, table: str = "table_id",
     """File versions no retained commit reads.
 
     Readers of the oldest retained commit use the newest version of a file
-    group at or before it; what is older than that goes. ``versions`` holds
-    each (table, group, commit) once, ``oldest`` one row per table, and a table
-    without a row there loses nothing.
+    group at or before it; what is older goes. ``versions`` holds each (table,
+    group, commit) once, ``oldest`` one row per table, and a table without a
+    row there loses nothing.
+
+    The join comes last: nothing after it needs its rows in one place, so a
+    table with a third of all versions is split like any skewed join key. A
+    file group has at most one version per commit, so the window's partitions
+    are as small as a timeline.
     """
-    old = versions.join(oldest, table).where(F.col(commit) <= F.col("oldest"))
-    # A file group has at most one version per commit, so this window's
-    # partitions are as small as a table's timeline.
-    in_use = F.max(commit).over(Window.partitionBy(table, group))
-    return old.withColumn("_in_use", in_use).where(F.col(commit) < F.col("_in_use")).select(table, group, commit)
+    successor = F.lead(commit).over(Window.partitionBy(table, group).orderBy(commit))
+    followed = versions.withColumn("_next", successor).where(F.col("_next").isNotNull())
+    return followed.join(oldest, table).where(F.col("_next") <= F.col("oldest")).select(table, group, commit)
 
 
 def archive_plan(commits: DataFrame, limits: DataFrame, table: str = "table_id", commit: str = "commit",
                  keep_min: str = "keep_min", keep_max: str = "keep_max") -> DataFrame:
     """Commits to move out of the active timeline: all but the newest ``keep_min`` once over ``keep_max``."""
-    ranked = _ranked_commits(commits, limits, table, commit)
-    total = F.count("*").over(Window.partitionBy(table))
-    return ranked.withColumn("_total", total).where(
-        (F.col("_total") > F.col(keep_max)) & (F.col("age_rank") > F.col(keep_min))).select(table, commit)
+    ranked = _timeline(commits, table, commit).join(limits, table)
+    return ranked.where((F.col("total") > F.col(keep_max)) & (F.col("age_rank") > F.col(keep_min))).select(
+        table, commit)
 
 
 def retention_plan(df: DataFrame, day: str, as_of: str, keep_days: int = 7) -> DataFrame:

@@ -42,13 +42,12 @@ def _client_defaults(defaults: DataFrame, with_server: bool) -> DataFrame:
     Server settings reach both client roles and give way to a role default of
     the same key.
     """
-    own = defaults.where(F.col("role").isin(CLIENT_ROLES)).select(
-        "cluster", "role", "key", F.struct(F.lit(1).alias("layer"), "value").alias("entry"))
-    if with_server:
-        server = defaults.where(F.col("role") == "server").select(
-            "cluster", F.explode(F.array(*[F.lit(r) for r in CLIENT_ROLES])).alias("role"), "key",
-            F.struct(F.lit(0).alias("layer"), "value").alias("entry"))
-        own = own.unionByName(server)
+    is_server = F.col("role") == "server"
+    if not with_server:
+        defaults = defaults.where(~is_server)
+    clients = F.when(is_server, F.array(*[F.lit(r) for r in CLIENT_ROLES])).otherwise(F.array("role"))
+    entry = F.struct(F.when(is_server, F.lit(0)).otherwise(F.lit(1)).alias("layer"), "value")
+    own = defaults.select("cluster", F.explode(clients).alias("role"), "key", entry.alias("entry"))
     return own.groupBy("cluster", "role", "key").agg(F.max("entry").alias("entry")).select(
         "cluster", "role", "key", F.col("entry.value").alias("inherited"),
         F.element_at(F.array(F.lit("server"), F.lit("cluster")), F.col("entry.layer") + 1).alias("inherited_from"))

@@ -59,7 +59,7 @@ def device_generate(spark, sf_dir):
 
 def props_parse(spark, sf_dir):
     events = fixtures.table(spark, sf_dir, "events")
-    return events.select("event_id", *device.json_keys("props", "k"))
+    return device.json_keys(events, "props", "k", keep=["event_id"])
 
 
 def record_repeats(spark, sf_dir):

@@ -51,9 +51,7 @@ def stream_log_lake_compacted(spark, sf_dir):
 
 def stream_log_rejects(spark, sf_dir):
     _, folder = _upserted(spark, sf_dir)
-    rows = spark.read.schema("seq long, app_name string, time_stamp string, reason string").parquet(
-        f"{folder}/rejects/batch=*")
-    return rows
+    return jobs.read_rejects(spark, f"{folder}/rejects").select("seq", "app_name", "time_stamp", "reason")
 
 
 def stream_daily_archive(spark, sf_dir):

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from penstock.functions.device import once
 from penstock.functions.logs import fits_message
 
 # Client settings Spark sets itself or refuses.
@@ -76,7 +77,7 @@ def json_table(records: DataFrame, schema: T.StructType, *keep: str) -> DataFram
     An unreadable message gives a row of NULLs, which the key check downstream
     sets aside, instead of stopping the stream.
     """
-    row = F.from_json(F.col("value").cast("string"), schema)
+    row = once(F.from_json(F.col("value").cast("string"), schema))
     return records.withColumn("_row", row).select("_row.*", *keep)
 
 

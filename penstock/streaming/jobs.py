@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from penstock.functions import device, logs
-from penstock.operators import lake
+from penstock.operators import counters, lake
 from penstock.sources import folders, kafka
 from penstock.streaming.lake_table import LakeTable
 
@@ -66,15 +66,29 @@ def upsert_logs(raw: DataFrame, table: LakeTable, rejects: str, checkpoint: str,
     """Raw log rows (seven columns and ``seq``) into the keyed table, rows without a key into ``rejects``."""
 
     def batch(rows: DataFrame, batch_id: int) -> None:
+        if table.is_folded(batch_id):
+            return
         normal = logs.normalize_logs(rows, "seq", precision=precision)
-        table.upsert(logs.log_rows(normal), batch_id)
-        logs.log_rejects(normal).write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+        counted, seen = counters.observed(normal, f"upsert-{batch_id}", logs.has_key())
+        table.upsert(logs.log_rows(counted), batch_id)
+        # The source is read a second time only if some row was set aside.
+        if seen.get["ok_rows"] < seen.get["rows"]:
+            logs.log_rejects(normal).write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
         if compact_every and (batch_id + 1) % compact_every == 0:
             table.compact()
 
     return _started(raw.writeStream.foreachBatch(batch), checkpoint, interval, once)
 
 
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The log rows set aside so far, with the reason."""
+    fields = {"unix_time_stamp": "long"}
+    schema = ", ".join(f"{c} {fields.get(c, 'string')}" for c in logs.LAKE_COLUMNS) + ", seq long, reason string"
+    paths = [f"{path}/{name}" for name in folders.child_folders(spark, path, "batch=")
+             if folders.is_done(spark, f"{path}/{name}")]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def with_day(lines: DataFrame, arrival: Column | None = None) -> DataFrame:
     """The day a line arrived, in the session's time zone."""
     at = F.current_timestamp() if arrival is None else arrival

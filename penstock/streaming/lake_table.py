@@ -120,14 +120,24 @@ class LakeTable:
 
     # -- changes -------------------------------------------------------------
 
+    def is_folded(self, batch_id: int) -> bool:
+        """The batch is already part of the base."""
+        versions = self.versions()
+        return bool(versions) and batch_id <= versions[-1]
+
     def upsert(self, rows: DataFrame, batch_id: int) -> None:
         """Add one batch, newest row per key. The same batch again replaces it, or is skipped once folded in."""
-        versions = self.versions()
-        if versions and batch_id <= versions[-1]:
+        if self.is_folded(batch_id):
             return
-        newest = latest_per_key(rows, self.keys, [self.arrival])
-        newest.select(*self.log_schema.fieldNames()).write.mode("overwrite").partitionBy(self.partition).parquet(
-            f"{self.path}/log/batch={batch_id}")
+        newest = latest_per_key(rows, self.keys, [self.arrival]).select(*self.log_schema.fieldNames())
+        self._write(newest, f"log/batch={batch_id}")
+
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        """Rows by partition. Rebalancing gives each partition files of an even size: a batch over many
+        partitions does not leave one file per task in each, and a partition with most rows is split."""
+        (rows.hint("rebalance", F.col(self.partition))
+         .sortWithinPartitions(self.partition, *[k for k in self.keys if k != self.partition])
+         .write.mode("overwrite").partitionBy(self.partition).parquet(f"{self.path}/{folder}"))
 
     def compact(self) -> int | None:
         """Fold all open batches into new base versions of the partitions they touch."""
@@ -136,12 +146,9 @@ class LakeTable:
             return None
         version = state.batches[-1]
         touched = self._touched(state.batches)
-        target = f"{self.path}/base/version={version}"
-        # Rebalancing gives files of one partition an even size, also when it holds most rows.
-        (self._merged(state, touched).hint("rebalance", F.col(self.partition))
-         .sortWithinPartitions(self.partition, *self.keys)
-         .write.mode("overwrite").partitionBy(self.partition).parquet(target))
-        written = folders.child_folders(self.spark, target, f"{self.partition}=")
+        target = f"base/version={version}"
+        self._write(self._merged(state, touched), target)
+        written = folders.child_folders(self.spark, f"{self.path}/{target}", f"{self.partition}=")
         current = {p: v for p, v in state.base.items() if p not in touched} | {p: version for p in written}
         self.spark.createDataFrame(sorted(current.items()), MANIFEST_SCHEMA).coalesce(1).write.mode(
             "overwrite").parquet(f"{self.path}/manifest/version={version}")
