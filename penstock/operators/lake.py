@@ -20,7 +20,7 @@ def merge_on_read(base: DataFrame, log: DataFrame, keys: Sequence[str], order: S
     small enough for Spark to broadcast, a shuffle.
     """
     touched = log.select(*keys).distinct()
-    kept = base.join(touched, list(keys), "left_anti")
+    kept = base.join(touched, list(keys), "left_anti").select(*base.columns)
     newest = latest_per_key(log, keys, order)
     if is_delete:
         newest = newest.where(~F.coalesce(F.col(is_delete), F.lit(False)))

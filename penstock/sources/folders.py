@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DONE_MARK = "_SUCCESS"
 
@@ -31,3 +31,22 @@ def remove(spark: SparkSession, path: str) -> bool:
     """Remove a folder and all below it."""
     system, at = _open(spark, path)
     return system.delete(at, True)
+
+
+def newest_version(spark: SparkSession, path: str) -> int:
+    """The highest finished ``version=N`` folder, -1 if there is none."""
+    done = [int(name.removeprefix("version=")) for name in child_folders(spark, path, "version=")
+            if is_done(spark, f"{path}/{name}")]
+    return max(done, default=-1)
+
+
+def read_newest(spark: SparkSession, path: str) -> DataFrame:
+    """The table a path holds now."""
+    return spark.read.parquet(f"{path}/version={newest_version(spark, path)}")
+
+
+def write_next(df: DataFrame, path: str) -> int:
+    """Replace the table a path holds: readers of the present version are not disturbed, also when ``df`` is one."""
+    version = newest_version(df.sparkSession, path) + 1
+    df.write.mode("overwrite").parquet(f"{path}/version={version}")
+    return version

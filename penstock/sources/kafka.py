@@ -22,6 +22,49 @@ MANAGED_KEYS = [
 ]
 EARLIEST, READ_COMMITTED = "earliest", "read_committed"
 
+# The setting names Kafka 3.9 clients know, from its public documentation.
+_COMMON_KEYS = """
+bootstrap.servers client.dns.lookup client.id connections.max.idle.ms enable.metrics.push interceptor.classes
+metadata.max.age.ms metadata.recovery.strategy metric.reporters metrics.num.samples metrics.recording.level
+metrics.sample.window.ms auto.include.jmx.reporter receive.buffer.bytes reconnect.backoff.max.ms reconnect.backoff.ms
+request.timeout.ms retry.backoff.max.ms retry.backoff.ms send.buffer.bytes socket.connection.setup.timeout.max.ms
+socket.connection.setup.timeout.ms security.protocol security.providers
+sasl.client.callback.handler.class sasl.jaas.config sasl.kerberos.kinit.cmd sasl.kerberos.min.time.before.relogin
+sasl.kerberos.service.name sasl.kerberos.ticket.renew.jitter sasl.kerberos.ticket.renew.window.factor
+sasl.login.callback.handler.class sasl.login.class sasl.login.connect.timeout.ms sasl.login.read.timeout.ms
+sasl.login.refresh.buffer.seconds sasl.login.refresh.min.period.seconds sasl.login.refresh.window.factor
+sasl.login.refresh.window.jitter sasl.login.retry.backoff.max.ms sasl.login.retry.backoff.ms sasl.mechanism
+sasl.oauthbearer.clock.skew.seconds sasl.oauthbearer.expected.audience sasl.oauthbearer.expected.issuer
+sasl.oauthbearer.header.urlencode sasl.oauthbearer.jwks.endpoint.refresh.ms
+sasl.oauthbearer.jwks.endpoint.retry.backoff.max.ms sasl.oauthbearer.jwks.endpoint.retry.backoff.ms
+sasl.oauthbearer.jwks.endpoint.url sasl.oauthbearer.scope.claim.name sasl.oauthbearer.sub.claim.name
+sasl.oauthbearer.token.endpoint.url
+ssl.cipher.suites ssl.enabled.protocols ssl.endpoint.identification.algorithm ssl.engine.factory.class
+ssl.key.password ssl.keymanager.algorithm ssl.keystore.certificate.chain ssl.keystore.key ssl.keystore.location
+ssl.keystore.password ssl.keystore.type ssl.protocol ssl.provider ssl.secure.random.implementation
+ssl.trustmanager.algorithm ssl.truststore.certificates ssl.truststore.location ssl.truststore.password
+ssl.truststore.type
+""".split()
+PRODUCER_KEYS = _COMMON_KEYS + """
+acks batch.size buffer.memory compression.gzip.level compression.lz4.level compression.type compression.zstd.level
+delivery.timeout.ms enable.idempotence key.serializer linger.ms max.block.ms max.in.flight.requests.per.connection
+max.request.size metadata.max.idle.ms partitioner.adaptive.partitioning.enable partitioner.availability.timeout.ms
+partitioner.class partitioner.ignore.keys retries transaction.timeout.ms transactional.id value.serializer
+""".split()
+CONSUMER_KEYS = _COMMON_KEYS + """
+allow.auto.create.topics auto.commit.interval.ms auto.offset.reset check.crcs client.rack default.api.timeout.ms
+enable.auto.commit exclude.internal.topics fetch.max.bytes fetch.max.wait.ms fetch.min.bytes group.id
+group.instance.id group.protocol group.remote.assignor heartbeat.interval.ms internal.leave.group.on.close
+internal.throw.on.fetch.stable.offset.unsupported isolation.level key.deserializer max.partition.fetch.bytes
+max.poll.interval.ms max.poll.records partition.assignment.strategy session.timeout.ms value.deserializer
+""".split()
+
+
+def allowed_keys(spark: SparkSession) -> DataFrame:
+    """Role and key of every setting a client accepts."""
+    rows = [("producer", k) for k in PRODUCER_KEYS] + [("consumer", k) for k in CONSUMER_KEYS]
+    return spark.createDataFrame(rows, "role string, key string")
+
 
 def client_options(settings: Mapping[str, str]) -> dict[str, str]:
     """Effective client settings as connector options, without those Spark manages."""

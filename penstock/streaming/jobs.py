@@ -30,11 +30,16 @@ def _started(writer: DataStreamWriter, checkpoint: str, interval: str | None, on
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
 
 
-def print_lines(lines: DataFrame, checkpoint: str, column: str = "report", prefix: str = device.PRINT_PREFIX,
-                interval: str = COMMIT_INTERVAL, once: bool = False) -> StreamingQuery:
-    """Print each line, with a prefix, to the console."""
-    shown = lines.select(F.concat(F.lit(prefix), F.col(column)).alias("line"))
-    return _started(shown.writeStream.format("console").option("truncate", "false"), checkpoint, interval, once)
+def printed(lines: DataFrame, column: str = "report", prefix: str = device.PRINT_PREFIX) -> DataFrame:
+    """The lines as printed."""
+    return lines.select(F.concat(F.lit(prefix), F.col(column)).alias("line"))
+
+
+def print_lines(lines: DataFrame, checkpoint: str, rows: int = 20, interval: str = COMMIT_INTERVAL,
+                once: bool = False, **options) -> StreamingQuery:
+    """Show each batch's first rows on the driver's console, to watch a stream. :func:`write_lines` keeps them all."""
+    writer = printed(lines, **options).writeStream.format("console").option("truncate", "false").option("numRows", rows)
+    return _started(writer, checkpoint, interval, once)
 
 
 def write_lines(lines: DataFrame, path: str, checkpoint: str, interval: str = COMMIT_INTERVAL,
