@@ -11,17 +11,18 @@ from penstock.operators.keyed import latest_per_key
 
 
 def merge_on_read(base: DataFrame, log: DataFrame, keys: Sequence[str], order: Sequence[str],
-                  is_delete: str | None = None) -> DataFrame:
+                  is_delete: str | None = None, log_has_repeats: bool = True) -> DataFrame:
     """Base rows under the newest log row per key; deleted keys disappear.
 
     A log row is newer than the base row of its key: the base is what earlier
     log rows were folded into. So a base row stays exactly when no log row has
     its key, and the base needs neither ranking nor, while the log's keys are
-    small enough for Spark to broadcast, a shuffle.
+    small enough for Spark to broadcast, a shuffle. A log known to hold each
+    key once (``log_has_repeats=False``) is not ranked either.
     """
     touched = log.select(*keys).distinct()
     kept = base.join(touched, list(keys), "left_anti").select(*base.columns)
-    newest = latest_per_key(log, keys, order)
+    newest = latest_per_key(log, keys, order) if log_has_repeats else log
     if is_delete:
         newest = newest.where(~F.coalesce(F.col(is_delete), F.lit(False)))
     return kept.unionByName(newest.select(*base.columns))

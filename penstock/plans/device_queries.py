@@ -43,9 +43,9 @@ def device_serialize(spark, sf_dir):
 
 
 def device_generate(spark, sf_dir):
-    """As many generated records as there are events; random fields as range checks."""
-    records = fixtures.table(spark, sf_dir, "events").count()
-    made = generator.generate(spark, records, seed=7)
+    """One generated record per event, numbered by its id; random fields as range checks."""
+    events = fixtures.table(spark, sf_dir, "events")
+    made = events.select(*generator.device_fields(F.col("event_id"), F.col("ts").cast("timestamp"), seed=7))
     parsed = device.parse_events(generator.as_message(made))
     p = "parsed.payload."
     t, v = F.col(p + "temperature").cast("int"), F.col(p + "voltage").cast("double")
@@ -99,9 +99,9 @@ SELECT event_id, 'json-key' AS key, '{"event":"' || event_type || '","timestamp"
   || '\\"","status":"' || event_type || '"}}' AS value
 FROM events""",
     "device_generate": """
-SELECT n, 'device_status' AS event, 'device-' || CAST(n + 10000 AS VARCHAR) AS id, true AS status_ok,
-  true AS temperature_ok, true AS voltage_ok, (n + 1) % 10 = 0 AS progress
-FROM (SELECT row_number() OVER (ORDER BY event_id) - 1 AS n FROM events)""",
+SELECT event_id AS n, 'device_status' AS event, 'device-' || CAST(event_id + 10000 AS VARCHAR) AS id,
+  true AS status_ok, true AS temperature_ok, true AS voltage_ok, (event_id + 1) % 10 = 0 AS progress
+FROM events""",
     "props_parse": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
     "record_repeats": with_parts("""
 SELECT 'devices-' || CAST("partition" AS VARCHAR) || '-' || CAST("offset" AS VARCHAR) AS record_id, value

@@ -33,17 +33,17 @@ def device_messages(events: DataFrame) -> DataFrame:
     """Queue records with a JSON device event; some cut, without payload, or with a list payload."""
     n = F.col("event_id")
     head = _text('{"event":"device_status","timestamp":', F.unix_millis(_timestamp("ts")))
-    whole = _text(head, ',"payload":{"id":"device-', F.col("user_id") + 10000, '","status":"',
-                  device.pick_state(n % 4), '","temperature":', n % 15 + 20, ',"voltage":', F.col("value"), "}}")
-    value = (
-        F.when(n % 23 == 0, F.substring(whole, F.lit(1), F.length(whole) - 1))
-        .when(n % 29 == 0, _text(head, "}"))
-        .when(n % 31 == 0, _text(head, ',"payload":[1]}'))
-        .otherwise(whole)
+    payload = _text(',"payload":{"id":"device-', F.col("user_id") + 10000, '","status":"', device.pick_state(n % 4),
+                    '","temperature":', n % 15 + 20, ',"voltage":', F.col("value"), "}")
+    rest = (
+        F.when(n % 23 == 0, payload)
+        .when(n % 29 == 0, "}")
+        .when(n % 31 == 0, ',"payload":[1]}')
+        .otherwise(_text(payload, "}"))
     )
     return events.select(
         F.lit(device.MESSAGE_KEY).alias("key"),
-        value.alias("value"),
+        _text(head, rest).alias("value"),
         F.lit("devices").alias("topic"),
         (n % 4).cast("int").alias("partition"),
         n.alias("offset"),

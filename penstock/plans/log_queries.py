@@ -10,7 +10,7 @@ from penstock.operators import counters, keyed, lake
 from penstock.plans import fixtures
 from penstock.plans.fixture_sql import LINES, LOGS, with_parts
 from penstock.session import fresh_folder
-from penstock.sources import kafka, line_files, tail
+from penstock.sources import folders, kafka, line_files, tail
 from penstock.streaming import jobs
 
 SIZE_LIMIT = 2000
@@ -55,8 +55,9 @@ def _written_lines(spark, sf_dir) -> str:
     """Documents as log files, one folder per source, many documents per file."""
     path = fresh_folder(spark, "logs")
     documents = fixtures.table(spark, sf_dir, "documents")
-    documents.select("source", "text").write.partitionBy("source").text(path)
-    return path
+    lines = documents.select("source", "text").hint("rebalance", F.col("source"))
+    lines.write.partitionBy("source").text(path)
+    return folders.qualified(spark, path)
 
 
 def _with_source(lines: DataFrame) -> DataFrame:

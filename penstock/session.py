@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +44,19 @@ def local_session(name: str, cores: str | int = "*", shuffle_partitions: int = 8
     return spark
 
 
+@contextmanager
+def conf(spark: SparkSession, settings: Mapping[str, str | int]) -> Iterator[None]:
+    """Runtime settings for the jobs started inside; the former values return afterwards."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, str(value))
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

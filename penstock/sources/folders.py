@@ -12,6 +12,12 @@ def _open(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system named, for readers outside the JVM."""
+    system, at = _open(spark, path)
+    return system.makeQualified(at).toString()
+
+
 def child_folders(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
     """Names of the folders directly below a path; none if it does not exist."""
     system, at = _open(spark, path)

@@ -13,15 +13,19 @@ into equal tasks, and the unfinished last line waits for its end mark.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
+from penstock.sources import folders
+
 FORMAT = "logtail"
 SCHEMA = "value string, file string, position long"
 ARROW_SCHEMA = pa.schema([("value", pa.string()), ("file", pa.string()), ("position", pa.int64())])
@@ -40,9 +44,10 @@ class FileRange(InputPartition):
 
 
 def _file_system(path: str) -> tuple[fs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path
+    local = re.sub(r"^file:/+", "/", path)
+    if "://" not in local:
+        return fs.LocalFileSystem(), local
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path))
 
 
 def list_sizes(path: str, pattern: str) -> dict[str, int]:
@@ -72,6 +77,22 @@ def _line_start(handle, at: int) -> int:
     return 0
 
 
+def _batch(file: str, data: bytes, begin: int) -> pa.RecordBatch:
+    """The lines of ``data`` (without its last end mark), the first of which begins at byte ``begin``."""
+    lines = pc.split_pattern(pa.array([data], pa.large_binary()), b"\n").values
+    # An end mark is one byte, so a line begins where the ones before it, with their marks, end.
+    lengths = pc.add(pc.binary_length(lines), 1)
+    positions = pc.add(pc.subtract(pc.cumulative_sum(lengths), lengths), begin)
+    if b"\r" in data:
+        lines = pc.replace_substring_regex(lines, rb"\r\z", b"")
+    try:
+        texts = lines.cast(pa.string())
+    except pa.ArrowInvalid:
+        texts = pa.array([line.decode("utf-8", "replace") for line in lines.to_pylist()], pa.string())
+    files = pa.repeat(pa.scalar(file), len(texts))
+    return pa.RecordBatch.from_arrays([texts, files, positions.cast(pa.int64())], schema=ARROW_SCHEMA)
+
+
 def read_range(path: str, part: FileRange) -> Iterator[pa.RecordBatch]:
     """The lines whose end mark lies in the range, a block at a time."""
     system, _ = _file_system(path)
@@ -92,15 +113,7 @@ def read_range(path: str, part: FileRange) -> Iterator[pa.RecordBatch]:
                 begin = _line_start(handle, at)
                 handle.seek(begin)
                 head = [handle.read(at - begin)] if begin < at else []
-            lines = b"".join([*head, block[:last]]).split(b"\n")
-            positions, where = [], begin
-            for line in lines:
-                positions.append(where)
-                where += len(line) + 1
-            texts = [line.removesuffix(b"\r").decode("utf-8", "replace") for line in lines]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()), pa.array([part.file] * len(texts), pa.string()),
-                 pa.array(positions, pa.int64())], schema=ARROW_SCHEMA)
+            yield _batch(part.file, b"".join([*head, block[:last]]), begin)
             begin, head = at + last + 1, [block[last + 1:]]
             at += len(block)
 
@@ -182,8 +195,6 @@ class LogTail(DataSource):
 
 def register(spark: SparkSession) -> None:
     """Make the ``logtail`` format known to a session; workers need no copy of this package."""
-    import sys
-
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(LogTail)
 
@@ -191,10 +202,10 @@ def register(spark: SparkSession) -> None:
 def read(spark: SparkSession, path: str, **options: str | int) -> DataFrame:
     """All complete lines the files hold now."""
     register(spark)
-    return spark.read.format(FORMAT).options(**options).load(path)
+    return spark.read.format(FORMAT).options(**options).load(folders.qualified(spark, path))
 
 
 def read_stream(spark: SparkSession, path: str, **options: str | int) -> DataFrame:
     """Lines as the files grow, from their start."""
     register(spark)
-    return spark.readStream.format(FORMAT).options(**options).load(path)
+    return spark.readStream.format(FORMAT).options(**options).load(folders.qualified(spark, path))

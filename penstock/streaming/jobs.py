@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from penstock import session
 from penstock.functions import device, logs
 from penstock.operators import counters, lake
 from penstock.sources import folders, kafka
@@ -101,10 +102,10 @@ def with_day(lines: DataFrame, arrival: Column | None = None) -> DataFrame:
 
 
 def archive_batch(lines: DataFrame, path: str, value: str = "value") -> None:
-    """Gzip text files per day. Rebalancing splits a day with many lines into files of
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and keeps small days in one file."""
-    (lines.select(value, DAY_COLUMN).hint("rebalance", F.col(DAY_COLUMN))
-     .write.mode("append").partitionBy(DAY_COLUMN).option("compression", "gzip").text(path))
+    """Gzip text files per day: a day with many lines is split at the roll size, a small day stays in one file."""
+    rows = lines.select(value, DAY_COLUMN).hint("rebalance", F.col(DAY_COLUMN))
+    with session.conf(lines.sparkSession, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": ROLL_BYTES}):
+        rows.write.mode("append").partitionBy(DAY_COLUMN).option("compression", "gzip").text(path)
 
 
 def archive_stream(lines: DataFrame, path: str, checkpoint: str, value: str = "value",

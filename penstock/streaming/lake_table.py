@@ -106,7 +106,8 @@ class LakeTable:
 
     def _merged(self, state: State, touched: set[str]) -> DataFrame:
         base = self._base({p: v for p, v in state.base.items() if p in touched})
-        return lake.merge_on_read(base, self._log(state.batches), self.keys, ["batch", self.arrival], self.is_delete)
+        return lake.merge_on_read(base, self._log(state.batches), self.keys, ["batch", self.arrival], self.is_delete,
+                                  log_has_repeats=len(state.batches) > 1)
 
     def snapshot(self, as_of: int | None = None) -> DataFrame:
         """The table's rows. Partitions no open batch touches are read as they are, without a merge."""

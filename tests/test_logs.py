@@ -29,6 +29,20 @@ def test_epoch_key(spark, time_stamp, seconds, millis):
     assert (row["s"], row["m"]) == (seconds, millis)
 
 
+def test_epoch_key_reads_what_the_format_reads(spark):
+    whole = "2024-02-29 23:59:59.987"
+    texts = {whole[:i] + c + whole[i + 1:] for i in range(len(whole)) for c in "0369 -:.T+xZ\n"}
+    texts |= {whole[:i] + whole[i + 1:] for i in range(len(whole))}
+    texts |= {whole[:i] + c + whole[i:] for i in range(len(whole) + 1) for c in "0 +\n\t"}
+    texts |= {"0000-01-01 00:00:00.000", "2023-02-29 00:00:00.000", "2024-01-01 24:00:00.000", "1969-12-31 23:59:59.001"}
+    df = spark.createDataFrame([(t,) for t in sorted(texts)], "t string")
+    parsed = F.try_to_timestamp("t", F.lit(logs.TIME_FORMAT))
+    rows = df.select("t", logs.epoch_key("t").alias("s"), (F.unix_seconds(parsed) * 1000).alias("ps"),
+                     logs.epoch_key("t", "millis").alias("m"), F.unix_millis(parsed).alias("pm")).collect()
+    assert [r for r in rows if (r["s"], r["m"]) != (r["ps"], r["pm"])] == []
+    assert sum(r["s"] is not None for r in rows) > 20
+
+
 def test_epoch_key_refuses_other_precisions():
     with pytest.raises(ValueError):
         logs.epoch_key("t", "days")

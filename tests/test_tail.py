@@ -38,6 +38,14 @@ def test_pieces_give_each_line_once(tmp_path_factory, data, chunk, block):
     assert found == want
 
 
+def test_odd_bytes_and_end_marks(tmp_path):
+    data = b"ok\r\n\r\na\rb\n\xff\xfe\n\xc3\xa9\n"
+    path = write(tmp_path, "x.log", data)
+    (part,) = tail.split_range(path, 0, len(data), 1000)
+    assert lines_of(tail.read_range(path, part)) == [
+        ("ok", 0), ("", 4), ("a\rb", 6), ("\ufffd\ufffd", 10), ("é", 13)]
+
+
 def test_batch_read_leaves_the_unfinished_line(spark, folder):
     write(folder, "a.log", b"one\r\ntwo\nthr")
     write(folder, "sub/b.log", "größe\n\n".encode())
