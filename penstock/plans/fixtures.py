@@ -128,7 +128,9 @@ def run_outcomes(part: DataFrame) -> DataFrame:
 def run_log_lines(part: DataFrame) -> DataFrame:
     """Output (rank 0) and error (rank 1) lines of each run; some runs never name their application."""
     k = F.col("p_partkey")
-    app = _text("application_", F.lit(1700000000000) + k, "_", F.lpad((k % 20000).cast("string"), 4, "0"))
+    number = (k % 20000).cast("string")
+    padded = F.lpad(number, F.greatest(F.lit(4), F.length(number)), F.lit("0"))
+    app = _text("application_", F.lit(1700000000000) + k, "_", padded)
     other = _text("application_", F.lit(1600000000000) + k, "_0001")
 
     def line(rank: int, no: int, text: Column) -> Column:

@@ -27,6 +27,12 @@ def child_folders(spark: SparkSession, path: str, prefix: str = "") -> list[str]
                   if s.isDirectory() and s.getPath().getName().startswith(prefix))
 
 
+def make(spark: SparkSession, path: str) -> None:
+    """Make a folder and those above it."""
+    system, at = _open(spark, path)
+    system.mkdirs(at)
+
+
 def is_done(spark: SparkSession, path: str) -> bool:
     """A job finished writing this folder."""
     system, at = _open(spark, f"{path}/{DONE_MARK}")

@@ -72,14 +72,14 @@ def upsert_logs(raw: DataFrame, table: LakeTable, rejects: str, checkpoint: str,
     """Raw log rows (seven columns and ``seq``) into the keyed table, rows without a key into ``rejects``."""
 
     def batch(rows: DataFrame, batch_id: int) -> None:
-        if table.is_folded(batch_id):
-            return
+        # The query's id is kept in its checkpoint: with a new checkpoint, batches count as another writer's.
+        writer = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         normal = logs.normalize_logs(rows, "seq", precision=precision)
         counted, seen = counters.observed(normal, f"upsert-{batch_id}", logs.has_key())
-        table.upsert(logs.log_rows(counted), batch_id)
-        # The source is read a second time only if some row was set aside.
-        if seen.get["ok_rows"] < seen.get["rows"]:
-            logs.log_rejects(normal).write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+        written = table.upsert(logs.log_rows(counted), batch_id, writer)
+        # The source is read a second time only if some row was set aside, or on a repeat that cannot tell.
+        if not written or seen.get["ok_rows"] < seen.get["rows"]:
+            logs.log_rejects(normal).write.mode("overwrite").parquet(f"{rejects}/writer={writer}/batch={batch_id}")
         if compact_every and (batch_id + 1) % compact_every == 0:
             table.compact()
 
@@ -90,8 +90,9 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """The log rows set aside so far, with the reason."""
     fields = {"unix_time_stamp": "long"}
     schema = ", ".join(f"{c} {fields.get(c, 'string')}" for c in logs.LAKE_COLUMNS) + ", seq long, reason string"
-    paths = [f"{path}/{name}" for name in folders.child_folders(spark, path, "batch=")
-             if folders.is_done(spark, f"{path}/{name}")]
+    found = [f"{path}/{w}/{b}" for w in folders.child_folders(spark, path, "writer=")
+             for b in folders.child_folders(spark, f"{path}/{w}", "batch=")]
+    paths = [p for p in found if folders.is_done(spark, p)]
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 

@@ -5,6 +5,7 @@
     log/batch=N/<partition>=P/      rows of one upsert, newest per key
     base/version=V/<partition>=P/   a partition's rows after compaction
     manifest/version=V/             which base version each partition has
+    writers/W/B-N/                  writer W's batch B is the table's batch N
 
 A folder counts once its job's done mark is there, so a failed or repeated
 write is invisible until it is complete, and writing a batch again replaces
@@ -121,17 +122,40 @@ class LakeTable:
 
     # -- changes -------------------------------------------------------------
 
-    def is_folded(self, batch_id: int) -> bool:
-        """The batch is already part of the base."""
-        versions = self.versions()
-        return bool(versions) and batch_id <= versions[-1]
-
-    def upsert(self, rows: DataFrame, batch_id: int) -> None:
-        """Add one batch, newest row per key. The same batch again replaces it, or is skipped once folded in."""
-        if self.is_folded(batch_id):
-            return
+    def claim(self, writer: str, batch_id: int) -> int | None:
+        """The table's number for a writer's batch, or None if the batch is already part of the base.
+
+        A repeated batch gets its former number, so it replaces itself. A
+        writer that starts counting anew must come with a new name.
+        """
+        root = f"{self.path}/writers"
+        claims = {tuple(int(x) for x in name.split("-")): w for w in folders.child_folders(self.spark, root)
+                  for name in folders.child_folders(self.spark, f"{root}/{w}")}
+        version = max(self.versions(), default=-1)
+        for (claimed, number), w in claims.items():
+            if (w, claimed) != (writer, batch_id):
+                continue
+            if number > version:
+                return number
+            if folders.is_done(self.spark, f"{self.path}/log/batch={number}"):
+                return None
+            # Begun but never finished before later batches were folded in: it counts as a new one.
+            folders.remove(self.spark, f"{root}/{writer}/{batch_id}-{number}")
+        number = 1 + max([version, *self.batches(), *(n for _, n in claims)])
+        folders.make(self.spark, f"{root}/{writer}/{batch_id}-{number}")
+        return number
+
+    def upsert(self, rows: DataFrame, batch_id: int, writer: str = "batch") -> bool:
+        """Add one batch, newest row per key. The same batch again replaces it, or is skipped once folded in.
+
+        One writer is active at a time; writers may take turns. Returns whether the batch was written.
+        """
+        number = self.claim(writer, batch_id)
+        if number is None:
+            return False
         newest = latest_per_key(rows, self.keys, [self.arrival]).select(*self.log_schema.fieldNames())
-        self._write(newest, f"log/batch={batch_id}")
+        self._write(newest, f"log/batch={number}")
+        return True
 
     def _write(self, rows: DataFrame, folder: str) -> None:
         """Rows by partition. Rebalancing gives each partition files of an even size: a batch over many
@@ -186,4 +210,15 @@ class LakeTable:
                 f"{self.path}/archive/upto={old[-1]}")
             for path in paths:
                 folders.remove(self.spark, path)
+            self._forget_claims(old[-1])
         return old
+
+    def _forget_claims(self, before: int) -> None:
+        """Drop the numbers of long-folded batches; each writer's last one stays."""
+        root = f"{self.path}/writers"
+        for writer in folders.child_folders(self.spark, root):
+            claims = sorted((int(name.split("-")[1]), name)
+                            for name in folders.child_folders(self.spark, f"{root}/{writer}"))
+            for number, name in claims[:-1]:
+                if number <= before:
+                    folders.remove(self.spark, f"{root}/{writer}/{name}")

@@ -72,6 +72,31 @@ def test_repeated_batch_changes_nothing(spark, folder):
     assert content(table.snapshot()) == expected(rows)
 
 
+def test_writers_that_count_alike_do_not_replace_each_other(spark, folder):
+    rows = some_rows(9)
+    table = new_table(spark, folder)
+    part = [spark.createDataFrame(rows[i:i + 40], LOG) for i in (0, 40, 80)]
+    table.upsert(part[0], 0, "first")
+    table.compact()
+    table.upsert(part[1], 0, "second")
+    table.upsert(part[1], 0, "second")
+    table.upsert(part[2], 1, "first")
+    table.upsert(part[0], 0, "first")
+    assert table.batches() == [0, 1, 2]
+    assert content(table.snapshot()) == expected(rows)
+
+
+def test_batch_begun_but_overtaken_counts_as_new(spark, folder):
+    rows = some_rows(10)
+    table = new_table(spark, folder)
+    assert table.claim("first", 0) == 0
+    table.upsert(spark.createDataFrame(rows[:60], LOG), 0, "second")
+    table.compact()
+    table.upsert(spark.createDataFrame(rows[60:], LOG), 0, "first")
+    assert table.batches() == [1, 2]
+    assert content(table.snapshot()) == expected(rows)
+
+
 def test_compacting_twice_is_compacting_once(spark, folder):
     rows = some_rows(5)
     table = new_table(spark, folder)
@@ -136,6 +161,9 @@ def test_archive_stays_between_bounds(spark, folder):
     assert content(table.snapshot()) == expected(rows)
     archived = spark.read.parquet(f"{folder}/archive/upto=3")
     assert archived.select("archived_from").distinct().count() == 4
+    # The last batch is still known after its numbers were tidied up.
+    table.upsert(spark.createDataFrame(rows[100:], LOG), 5)
+    assert table.batches()[-1] == 5
 
 
 def test_ordering_column_must_be_in_the_key(spark, folder):

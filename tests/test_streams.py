@@ -53,6 +53,19 @@ def test_upsert_stream_equals_batch_with_compactions(spark, sf_dir, folder):
     assert jobs.read_rejects(spark, f"{folder}/rejects").count() == logs.log_rejects(normal).count()
 
 
+def test_new_checkpoint_loses_nothing(spark, sf_dir, folder):
+    events = fixtures.table(spark, sf_dir, "events")
+    table = jobs.lake_table(spark, f"{folder}/table")
+    for half in (0, 1):
+        events.where(f"event_id % 2 = {half}").write.parquet(f"{folder}/in{half}")
+        raw = fixtures.app_logs(source(spark, events, f"{folder}/in{half}"))
+        jobs.upsert_logs(raw, table, f"{folder}/rejects", f"{folder}/checkpoint{half}", compact_every=1,
+                         once=True).awaitTermination()
+    normal = logs.normalize_logs(fixtures.app_logs(events), "seq")
+    assert table.snapshot().count() == logs.log_rows(normal).select("app_name", "unix_time_stamp").distinct().count()
+    assert jobs.read_rejects(spark, f"{folder}/rejects").count() == logs.log_rejects(normal).count()
+
+
 def test_upsert_stream_without_rejects(spark, sf_dir, folder):
     events = fixtures.table(spark, sf_dir, "events").where("event_id % 37 != 0")
     events.write.parquet(f"{folder}/in")
