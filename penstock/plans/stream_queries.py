@@ -69,13 +69,8 @@ def stream_tail_files(spark, sf_dir):
     folder = fresh_folder(spark, "stream-tail")
     path = log_queries._written_lines(spark, sf_dir)
     largest = max(tail.list_sizes(path, r".*/part-.*\.txt").values(), default=1)
-
-    def start():
-        lines = tail.read_stream(spark, path, pattern=r".*/source=[^/]+/part-.*\.txt",
-                                 maxBytesPerFile=largest // 2 + 1)
-        return jobs.write_lines(lines, f"{folder}/out", f"{folder}/checkpoint", once=True)
-
-    jobs.drain(start)
+    lines = tail.read_stream(spark, path, pattern=r".*/source=[^/]+/part-.*\.txt", maxBytesPerFile=largest // 2 + 1)
+    jobs.drain(jobs.write_lines(lines, f"{folder}/out", f"{folder}/checkpoint", interval="0 seconds"))
     return log_queries._with_source(spark.read.schema(tail.SCHEMA).parquet(f"{folder}/out"))
 
 

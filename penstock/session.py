@@ -36,6 +36,8 @@ def local_session(name: str, cores: str | int = "*", shuffle_partitions: int = 8
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Noting the call site of every column expression costs more than small queries run.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)

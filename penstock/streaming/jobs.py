@@ -7,7 +7,7 @@ checkpoint, so a restart goes on where the last finished batch ended.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,22 +133,13 @@ def expire_days(spark: SparkSession, path: str, as_of: str, keep_days: int = 7)
     return gone
 
 
-def drain(start: Callable[[], StreamingQuery], max_runs: int = 10_000) -> int:
-    """Run an available-now query until a run finds nothing new; returns rows read.
+def drain(query: StreamingQuery) -> None:
+    """Let a running query take all its sources hold, in as many batches as their caps need, then stop it.
 
-    Sources that cap a batch take one capped batch per available-now run, so a
-    single run can leave data behind.
+    A capped source gives an available-now run only one capped batch, so use
+    this with a processing-time query when everything must be through.
     """
-    total = 0
-    for _ in range(max_runs):
-        query = start()
-        query.awaitTermination()
-        rows = sum(p["numInputRows"] for p in query.recentProgress)
-        if rows == 0 and not any(_moved(p) for p in query.recentProgress):
-            return total
-        total += rows
-    raise RuntimeError("the source did not run dry")
-
-
-def _moved(progress) -> bool:
-    return any(s["startOffset"] != s["endOffset"] for s in progress["sources"])
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()

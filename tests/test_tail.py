@@ -56,10 +56,8 @@ def test_batch_read_leaves_the_unfinished_line(spark, folder):
 
 
 def follow(spark, folder, **options):
-    def start():
-        lines = tail.read_stream(spark, f"{folder}/in", **options)
-        return jobs.write_lines(lines, f"{folder}/out", f"{folder}/checkpoint", once=True)
-    jobs.drain(start)
+    lines = tail.read_stream(spark, f"{folder}/in", **options)
+    jobs.drain(jobs.write_lines(lines, f"{folder}/out", f"{folder}/checkpoint", interval="0 seconds"))
     rows = spark.read.schema(tail.SCHEMA).parquet(f"{folder}/out").collect()
     return sorted((r["file"].rsplit("/", 1)[1], r["position"], r["value"]) for r in rows)
 
@@ -74,6 +72,16 @@ def test_appended_lines_arrive_once_over_restarts(spark, folder):
     assert follow(spark, folder) == want
 
 
+def test_available_now_takes_everything_when_uncapped(spark, folder):
+    write(folder, "in/a.log", b"1\n2\n")
+    for want in (["1", "2"], ["1", "2", "3"]):
+        lines = tail.read_stream(spark, f"{folder}/in", chunkBytes=1)
+        jobs.write_lines(lines, f"{folder}/out", f"{folder}/checkpoint", once=True).awaitTermination()
+        rows = spark.read.schema(tail.SCHEMA).parquet(f"{folder}/out").collect()
+        assert sorted(r["value"] for r in rows) == want
+        write(folder, "in/a.log", b"3\n", "ab")
+
+
 def test_replaced_file_starts_again(spark, folder):
     write(folder, "in/a.log", b"one\ntwo\nthree\n")
     follow(spark, folder)
@@ -93,11 +101,9 @@ def test_running_query_follows_a_growing_file(spark, folder):
     lines = tail.read_stream(spark, f"{folder}/in", maxBytesPerFile=3)
     query = jobs.write_lines(lines, f"{folder}/out", f"{folder}/checkpoint", interval="0 seconds")
     try:
-        for _ in range(3):
-            query.processAllAvailable()
+        query.processAllAvailable()
         write(folder, "in/a.log", b"3\n4\n5\n", "ab")
-        for _ in range(3):
-            query.processAllAvailable()
+        query.processAllAvailable()
     finally:
         query.stop()
     rows = spark.read.schema(tail.SCHEMA).parquet(f"{folder}/out").collect()
