@@ -6,6 +6,7 @@ inside whole-stage codegen on a batch frame and on a stream, with no shuffle.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -75,23 +76,30 @@ def json_keys(df: DataFrame, text: str, *keys: str, keep: Sequence[str] = ()) ->
     return df.select(*keep, once(F.from_json(F.col(text), schema)).alias("_object")).select(*keep, "_object.*")
 
 
+def fill(template: str, *cells: str) -> Column:
+    """A template's places filled with columns; an absent value prints ``null``.
+
+    A concatenation, as a formatter per row costs a sixth of the whole report.
+    """
+    texts = [F.lit(t) for t in re.split("%[sd]", template)]
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in cells]
+    return F.concat(texts[0], *[x for pair in zip(values, texts[1:], strict=True) for x in pair])
+
+
 def full_report() -> Column:
-    """Five-field line of a parsed event; absent fields print ``null``."""
+    """Five-field line of a parsed event."""
     p = "parsed.payload."
-    return F.format_string(REPORT_FULL, F.col("parsed.event"), F.col(p + "id"), F.col(p + "status"),
-                           F.col(p + "temperature"), F.col(p + "voltage"))
+    return fill(REPORT_FULL, "parsed.event", p + "id", p + "status", p + "temperature", p + "voltage")
 
 
 def short_report() -> Column:
     """Three-field line of a parsed event."""
-    return F.format_string(REPORT_SHORT, F.col("parsed.event"), F.col("parsed.payload.id"),
-                           F.col("parsed.payload.status"))
+    return fill(REPORT_SHORT, "parsed.event", "parsed.payload.id", "parsed.payload.status")
 
 
 def client_report(partition: str = "partition", offset: str = "offset") -> Column:
     """Multi-line text with the record's position in its topic."""
-    return F.format_string(REPORT_CLIENT, F.col(partition), F.col(offset), F.col("parsed.event"),
-                           F.col("parsed.payload.id"), F.col("parsed.payload.status"))
+    return fill(REPORT_CLIENT, partition, offset, "parsed.event", "parsed.payload.id", "parsed.payload.status")
 
 
 def failed_excerpt(value: Column | str = "value") -> Column:

@@ -129,6 +129,16 @@ def listing(defaults: DataFrame, overrides: DataFrame) -> DataFrame:
     return per_cluster.unionByName(per_topic)
 
 
+def sections(settings: DataFrame, allowed: DataFrame) -> DataFrame:
+    """One map of allowed keys per (cluster, topic, role).
+
+    Keys are distinct and on the list, so a map is never larger than the list.
+    """
+    known = settings.join(allowed.select("role", "key").distinct(), ["role", "key"], "left_semi")
+    entries = F.sort_array(F.collect_list(F.struct("key", "value")))
+    return known.groupBy("cluster", "topic", "role").agg(F.map_from_entries(entries).alias("entries"))
+
+
 def section(settings: DataFrame, cluster: str, topic: str, role: str) -> dict[str, str]:
     """The settings of one client as a plain dict, to hand to a connector.
 

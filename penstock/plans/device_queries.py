@@ -64,8 +64,9 @@ def props_parse(spark, sf_dir):
 
 def record_repeats(spark, sf_dir):
     """Records delivered twice, as an at-least-once sink may do, and dropped again by their id."""
-    once = kafka.with_record_id(_messages(spark, sf_dir))
-    return kafka.drop_repeats(once.unionByName(once)).select("record_id", "value")
+    sent = kafka.outgoing(kafka.with_record_id(_messages(spark, sf_dir)))
+    twice = sent.withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2))))
+    return kafka.drop_repeats(kafka.with_sent_id(twice)).select("record_id", "value")
 
 
 QUERIES = {f.__name__: f for f in [

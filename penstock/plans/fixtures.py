@@ -216,4 +216,4 @@ def document_lines(documents: DataFrame) -> DataFrame:
     """Every line of every document as a log line of its own file."""
     path = _text("/logs/", F.col("source"), "/", F.col("doc_id"), ".log")
     return documents.select(path.alias("file"), F.posexplode(F.split("text", "\n", -1))).select(
-        "file", (F.col("pos") + 1).alias("line_no"), F.col("col").alias("value"))
+        "file", (F.col("pos") + 1).cast("long").alias("line_no"), F.col("col").alias("value"))

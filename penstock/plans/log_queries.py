@@ -37,6 +37,19 @@ def log_normalize(spark, sf_dir):
     return logs.log_rows(_normalized_messages(spark, sf_dir)).drop("seq")
 
 
+def log_normalize_sql(spark, sf_dir):
+    """The same as a statement over the declared message table."""
+    messages = fixtures.app_log_messages(fixtures.table(spark, sf_dir, "events"))
+    return spark.sql("""
+        SELECT * FROM (
+          SELECT app_name, time_stamp,
+            unix_timestamp(try_to_timestamp(time_stamp, 'yyyy-MM-dd HH:mm:ss.SSS')) * 1000 AS unix_time_stamp,
+            trim(level) AS level, logger, message, thread, exception, substring(time_stamp, 1, 10) AS load_dt
+          FROM {messages})
+        WHERE app_name IS NOT NULL AND unix_time_stamp IS NOT NULL""",
+                     messages=kafka.json_table(messages, logs.LOG_SCHEMA))
+
+
 def log_rejects(spark, sf_dir):
     return logs.log_rejects(_normalized_messages(spark, sf_dir)).select("seq", "app_name", "time_stamp", "reason")
 
@@ -138,7 +151,7 @@ def batch_counts(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in [
-    log_normalize, log_rejects, log_lake_upsert, log_tail_lines, log_tail_files, log_closed_files, log_file_name,
+    log_normalize, log_normalize_sql, log_rejects, log_lake_upsert, log_tail_lines, log_tail_files, log_closed_files, log_file_name,
     log_daily_archive, message_size_guard, log_severity, error_tail, retention_plan, path_safety, batch_counts,
 ]}
 
@@ -154,8 +167,11 @@ SELECT strftime(arrival_ts, '%Y-%m-%d') AS load_date, count(*) AS lines,
   CAST(sum(octet_length(encode(time_stamp || ' [' || level || '] ' || message)) + 1) AS BIGINT) AS bytes
 FROM normal GROUP BY 1""", LOGS)
 
+NORMALIZE_SQL = with_parts(f"SELECT {_LAKE} FROM normal WHERE good", LOGS)
+
 ORACLE = {
-    "log_normalize": with_parts(f"SELECT {_LAKE} FROM normal WHERE good", LOGS),
+    "log_normalize": NORMALIZE_SQL,
+    "log_normalize_sql": NORMALIZE_SQL,
     "log_rejects": with_parts("""
 SELECT seq, app_name, time_stamp, 'unreadable time_stamp' AS reason FROM normal
 WHERE try_strptime(time_stamp, '%Y-%m-%d %H:%M:%S.%g') IS NULL""", LOGS),
@@ -178,7 +194,7 @@ SELECT seq, strftime(arrival_ts, '%Y-%m-%d %H:%M:%S.') || lpad(CAST((epoch_us(ar
 FROM normal WHERE rank <= 3""", LOGS),
     "error_tail": with_parts("""
 SELECT file, line_no, value, from_end FROM (
-  SELECT *, max(line_no) OVER (PARTITION BY file) - line_no + 1 AS from_end FROM lines) WHERE from_end <= 5""", LINES),
+  SELECT *, CAST(max(line_no) OVER (PARTITION BY file) - line_no + 1 AS INTEGER) AS from_end FROM lines) WHERE from_end <= 5""", LINES),
     "retention_plan": f"""
 SELECT strftime(ts, '%Y-%m-%d') AS load_date, count(*) AS rows,
   date_diff('day', CAST(min(ts) AS DATE), DATE '{AS_OF}') > 7 AS expired

@@ -56,8 +56,17 @@ def settings_listing(spark, sf_dir):
     return settings.listing(defaults, overrides)
 
 
+def settings_sections(spark, sf_dir):
+    """Each topic's client configurations as maps, shown as JSON."""
+    defaults, overrides = _tables(spark, sf_dir)
+    merged = settings.effective(overrides, defaults, overrides)
+    maps = settings.sections(merged, fixtures.allowed_keys(spark))
+    return maps.select("cluster", "topic", "role", F.to_json("entries").alias("entries"))
+
+
 QUERIES = {f.__name__: f for f in [
     settings_effective, settings_topic, settings_in_code, settings_invalid_keys, settings_lookup, settings_listing,
+    settings_sections,
 ]}
 
 # Effective settings by one lookup per layer: every (topic, role, key) any layer names, first layer that has it.
@@ -109,6 +118,10 @@ FROM (SELECT o_orderkey, 'c' || CAST(o_orderkey % 30 AS VARCHAR) AS cluster,
         't' || CAST(o_custkey // 100 AS VARCHAR) AS topic FROM orders) r
 LEFT JOIN (SELECT cluster, topic, count(*) AS own_settings FROM overrides GROUP BY 1, 2) t USING (cluster, topic)""",
                                   SETTINGS),
+    "settings_sections": with_parts("""
+SELECT cluster, topic, role, '{' || string_agg('"' || key || '":"' || value || '"', ',' ORDER BY key) || '}' AS entries
+FROM effective WHERE key IN (SELECT 'k' || CAST(i AS VARCHAR) FROM range(12) w(i)) GROUP BY cluster, topic, role""",
+                                    *_resolved(_CONFIGURED, True)),
     "settings_listing": with_parts("""
 SELECT cluster, CAST(NULL AS VARCHAR) AS topic, key,
   CASE role WHEN 'server' THEN 'SERVER CONFIGURATION' WHEN 'producer' THEN 'SERVER PRODUCER CONFIGURATION'

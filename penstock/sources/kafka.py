@@ -21,6 +21,7 @@ MANAGED_KEYS = [
     "auto.offset.reset", "enable.auto.commit", "auto.commit.interval.ms", "interceptor.classes",
 ]
 EARLIEST, READ_COMMITTED = "earliest", "read_committed"
+RECORD_ID = "record_id"
 
 # The setting names Kafka 3.9 clients know, from its public documentation.
 _COMMON_KEYS = """
@@ -126,12 +127,24 @@ def json_table(records: DataFrame, schema: T.StructType, *keep: str) -> DataFram
 
 def with_record_id(records: DataFrame) -> DataFrame:
     """An id fixed by where a record was read, the same on every retry."""
-    return records.withColumn("record_id", F.concat_ws("-", "topic", "partition", "offset"))
+    return records.withColumn(RECORD_ID, F.concat_ws("-", "topic", "partition", "offset"))
+
+
+def outgoing(records: DataFrame) -> DataFrame:
+    """Key and value to send, with the record id as a header."""
+    header = F.struct(F.lit(RECORD_ID).alias("key"), F.col(RECORD_ID).cast("binary").alias("value"))
+    return records.select("key", "value", F.array(header).alias("headers"))
+
+
+def with_sent_id(records: DataFrame) -> DataFrame:
+    """The id a record was sent with (read with the connector's ``includeHeaders`` option)."""
+    sent = F.filter("headers", lambda h: h["key"] == RECORD_ID)
+    return records.withColumn(RECORD_ID, F.try_element_at(sent, F.lit(-1))["value"].cast("string"))
 
 
 def drop_repeats(records: DataFrame) -> DataFrame:
-    """One of each record id (a sink that writes at least once may repeat some)."""
-    return records.dropDuplicates(["record_id"])
+    """One of each record id (a sink that writes at least once may repeat some). For batches of records."""
+    return records.dropDuplicates([RECORD_ID])
 
 
 def within_size(messages: DataFrame, limit: int, value: str = "value") -> tuple[DataFrame, DataFrame]:
