@@ -5,7 +5,7 @@
     log/batch=N/<partition>=P/      rows of one upsert, newest per key
     base/version=V/<partition>=P/   a partition's rows after compaction
     manifest/version=V/             which base version each partition has
-    writers/W/B-N/                  writer W's batch B is the table's batch N
+    writers/W/B-N/                  writer W's batch B is the table's batch N (``written`` inside: complete)
 
 A folder counts once its job's done mark is there, so a failed or repeated
 write is invisible until it is complete, and writing a batch again replaces
@@ -31,6 +31,7 @@ from penstock.operators.keyed import latest_per_key
 from penstock.sources import folders
 
 MANIFEST_SCHEMA = "part string, version long"
+WRITTEN = "written"
 
 
 @dataclass
@@ -90,7 +91,7 @@ class LakeTable:
     # -- frames --------------------------------------------------------------
 
     def _read(self, folder: str, number: str, paths: list[str], schema: T.StructType) -> DataFrame:
-        columns = [c for c in schema.fieldNames()]
+        columns = schema.fieldNames()
         full = T.StructType([*schema.fields, T.StructField(number, T.LongType())])
         if not paths:
             return self.spark.createDataFrame([], full).select(*columns, number)
@@ -137,10 +138,11 @@ class LakeTable:
                 continue
             if number > version:
                 return number
-            if folders.is_done(self.spark, f"{self.path}/log/batch={number}"):
+            claim = f"{root}/{writer}/{batch_id}-{number}"
+            if folders.child_folders(self.spark, claim) or number in self.batches():
                 return None
             # Begun but never finished before later batches were folded in: it counts as a new one.
-            folders.remove(self.spark, f"{root}/{writer}/{batch_id}-{number}")
+            folders.remove(self.spark, claim)
         number = 1 + max([version, *self.batches(), *(n for _, n in claims)])
         folders.make(self.spark, f"{root}/{writer}/{batch_id}-{number}")
         return number
@@ -155,6 +157,7 @@ class LakeTable:
             return False
         newest = latest_per_key(rows, self.keys, [self.arrival]).select(*self.log_schema.fieldNames())
         self._write(newest, f"log/batch={number}")
+        folders.make(self.spark, f"{self.path}/writers/{writer}/{batch_id}-{number}/{WRITTEN}")
         return True
 
     def _write(self, rows: DataFrame, folder: str) -> None:
@@ -162,7 +165,8 @@ class LakeTable:
         partitions does not leave one file per task in each, and a partition with most rows is split."""
         (rows.hint("rebalance", F.col(self.partition))
          .sortWithinPartitions(self.partition, *[k for k in self.keys if k != self.partition])
-         .write.mode("overwrite").partitionBy(self.partition).parquet(f"{self.path}/{folder}"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(self.partition)
+         .parquet(f"{self.path}/{folder}"))
 
     def compact(self) -> int | None:
         """Fold all open batches into new base versions of the partitions they touch."""
@@ -206,7 +210,7 @@ class LakeTable:
         if old:
             paths = [f"{self.path}/manifest/version={v}" for v in old]
             rows = self.spark.read.schema(MANIFEST_SCHEMA).parquet(*paths)
-            rows.withColumn("archived_from", F.input_file_name()).write.mode("overwrite").parquet(
+            rows.withColumn("archived_from", F.col("_metadata.file_path")).write.mode("overwrite").parquet(
                 f"{self.path}/archive/upto={old[-1]}")
             for path in paths:
                 folders.remove(self.spark, path)

@@ -86,6 +86,18 @@ def test_writers_that_count_alike_do_not_replace_each_other(spark, folder):
     assert content(table.snapshot()) == expected(rows)
 
 
+def test_repeat_after_cleaning_does_not_bring_old_rows_back(spark, folder):
+    rows = some_rows(11)
+    table = new_table(spark, folder)
+    early, late = (spark.createDataFrame(r, LOG) for r in (rows[:60], rows[60:]))
+    table.upsert(early, 0, "first")
+    table.upsert(late, 0, "second")
+    table.compact()
+    assert table.clean(1) == ["log/batch=0", "log/batch=1"]
+    assert table.upsert(early, 0, "first") is False
+    assert content(table.snapshot()) == expected(rows)
+
+
 def test_batch_begun_but_overtaken_counts_as_new(spark, folder):
     rows = some_rows(10)
     table = new_table(spark, folder)
