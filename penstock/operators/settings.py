@@ -109,6 +109,7 @@ def lookup(requests: DataFrame, defaults: DataFrame, overrides: DataFrame) -> Da
         requests.join(clusters, "cluster", "left").join(topics, ["cluster", "topic"], "left")
         .withColumn("cluster_found", F.coalesce("cluster_found", F.lit(False)))
         .withColumn("topic_found", F.col("own_settings").isNotNull())
+        .withColumn("own_settings", F.coalesce("own_settings", F.lit(0)))
     )
 
 

@@ -14,6 +14,15 @@ from penstock.sources import delimited
 AS_OF = "2024-02-01 12:00:00"
 
 
+# Integers that may be NULL are shown as text, since data frames of different engines hold them differently.
+MAY_BE_NULL = ["compaction_commit_threshold", "spark_dynamic_min_executors", "spark_dynamic_initial_executors",
+               "min_executors", "max_executors", "initial_executors", "executor_instances"]
+
+
+def _shown(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("string") for c in MAY_BE_NULL if c in df.columns})
+
+
 def _part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.table(spark, sf_dir, "part")
 
@@ -26,9 +35,9 @@ def config_active_ordered(spark, sf_dir):
     """The active rows in run order, selected through a view as a scheduled job would."""
     config = fixtures.maintenance_config(_part(spark, sf_dir))
     columns = ", ".join(maintenance.CONFIG_COLUMNS)
-    return spark.sql(
+    return _shown(spark.sql(
         f"SELECT {columns} FROM {{config}} WHERE is_active ORDER BY priority_level ASC, full_table_name ASC",
-        config=config)
+        config=config))
 
 
 def config_preview(spark, sf_dir):
@@ -43,7 +52,7 @@ def config_preview(spark, sf_dir):
 
 def config_parsed(spark, sf_dir):
     parsed = maintenance.parsed_config(_active(spark, sf_dir))
-    return parsed.withColumn("pipe_line", maintenance.pipe_line())
+    return _shown(parsed.withColumn("pipe_line", maintenance.pipe_line()))
 
 
 def config_files(spark, sf_dir):
@@ -52,25 +61,25 @@ def config_files(spark, sf_dir):
     delimited.write_tsv(maintenance.by_priority(_active(spark, sf_dir)), export)
     exported = delimited.read_tsv(spark, export, maintenance.CONFIG_SCHEMA)
     delimited.write_pipe(maintenance.parsed_config(exported), rows)
-    return delimited.read_pipe(spark, rows, maintenance.PARSED_SCHEMA)
+    return _shown(delimited.read_pipe(spark, rows, maintenance.PARSED_SCHEMA))
 
 
 def config_rejected(spark, sf_dir):
     rejected = maintenance.rejected_config(_active(spark, sf_dir))
-    return rejected.select("full_table_name", "compaction_commit_threshold", "reason")
+    return _shown(rejected.select("full_table_name", "compaction_commit_threshold", "reason"))
 
 
 def compaction_params(spark, sf_dir):
     parsed = maintenance.parsed_config(_active(spark, sf_dir))
-    return maintenance.with_upkeep_limits(parsed).select(
-        "full_table_name", "compaction_commit_threshold", "commits_retained", "keep_min", "keep_max")
+    return _shown(maintenance.with_upkeep_limits(parsed).select(
+        "full_table_name", "compaction_commit_threshold", "commits_retained", "keep_min", "keep_max"))
 
 
 def resource_plan(spark, sf_dir):
     parsed = maintenance.parsed_config(_active(spark, sf_dir))
-    return maintenance.with_resources(parsed).select(
+    return _shown(maintenance.with_resources(parsed).select(
         "full_table_name", "dynamic", "min_executors", "max_executors", "initial_executors", "executor_instances",
-        "spark_executor_cores", "spark_executor_memory", "spark_driver_memory", "spark_shuffle_partitions")
+        "spark_executor_cores", "spark_executor_memory", "spark_driver_memory", "spark_shuffle_partitions"))
 
 
 def maintenance_status(spark, sf_dir):
@@ -94,8 +103,13 @@ QUERIES = {f.__name__: f for f in [
     resource_plan, maintenance_status, maintenance_summary, app_id_extract,
 ]}
 
-_CONFIG_19 = ", ".join(maintenance.CONFIG_COLUMNS)
-_PARSED_12 = ", ".join(maintenance.PARSED_COLUMNS)
+
+def _columns(names: list[str]) -> str:
+    return ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c in MAY_BE_NULL else c for c in names)
+
+
+_CONFIG_19 = _columns(maintenance.CONFIG_COLUMNS)
+_PARSED_12 = _columns(maintenance.PARSED_COLUMNS)
 _PIPE = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in maintenance.PARSED_COLUMNS)
 
 ORACLE = {
@@ -108,19 +122,20 @@ UNION ALL SELECT 'rows', CAST(count(*) AS VARCHAR) FROM active""", CONFIG),
     "config_parsed": with_parts(f"SELECT {_PARSED_12}, {_PIPE} AS pipe_line FROM runnable", CONFIG),
     "config_files": with_parts(f"SELECT {_PARSED_12} FROM runnable", CONFIG),
     "config_rejected": with_parts("""
-SELECT full_table_name, compaction_commit_threshold,
+SELECT full_table_name, CAST(compaction_commit_threshold AS VARCHAR) AS compaction_commit_threshold,
   CASE WHEN schema_name IS NULL THEN 'invalid table name' ELSE 'missing threshold' END AS reason
 FROM active WHERE schema_name IS NULL OR compaction_commit_threshold IS NULL""", CONFIG),
     "compaction_params": with_parts("""
-SELECT full_table_name, compaction_commit_threshold, compaction_commit_threshold * 2 AS commits_retained,
+SELECT full_table_name, CAST(compaction_commit_threshold AS VARCHAR) AS compaction_commit_threshold,
+  compaction_commit_threshold * 2 AS commits_retained,
   compaction_commit_threshold * 2 + 1 AS keep_min, compaction_commit_threshold * 2 + 21 AS keep_max
 FROM runnable""", CONFIG),
     "resource_plan": with_parts("""
 SELECT full_table_name, k % 2 = 0 AS dynamic,
-  CASE WHEN k % 2 = 0 THEN coalesce(spark_dynamic_min_executors, 1) END AS min_executors,
-  CASE WHEN k % 2 = 0 THEN spark_dynamic_max_executors END AS max_executors,
-  CASE WHEN k % 2 = 0 THEN coalesce(spark_dynamic_initial_executors, 1) END AS initial_executors,
-  CASE WHEN k % 2 <> 0 THEN 2 END AS executor_instances,
+  CAST(CASE WHEN k % 2 = 0 THEN coalesce(spark_dynamic_min_executors, 1) END AS VARCHAR) AS min_executors,
+  CAST(CASE WHEN k % 2 = 0 THEN spark_dynamic_max_executors END AS VARCHAR) AS max_executors,
+  CAST(CASE WHEN k % 2 = 0 THEN coalesce(spark_dynamic_initial_executors, 1) END AS VARCHAR) AS initial_executors,
+  CASE WHEN k % 2 <> 0 THEN '2' END AS executor_instances,
   spark_executor_cores, spark_executor_memory, spark_driver_memory, spark_shuffle_partitions
 FROM runnable""", CONFIG),
     "maintenance_status": with_parts(f"""

@@ -113,7 +113,7 @@ WHERE role <> 'server' AND NOT EXISTS (SELECT 1 FROM range(12) w(i) WHERE s.key
     "settings_lookup": with_parts("""
 SELECT o_orderkey AS request_id, r.cluster, r.topic,
   r.cluster IN (SELECT cluster FROM defaults UNION SELECT cluster FROM overrides) AS cluster_found,
-  t.own_settings IS NOT NULL AS topic_found, t.own_settings
+  t.own_settings IS NOT NULL AS topic_found, coalesce(t.own_settings, 0) AS own_settings
 FROM (SELECT o_orderkey, 'c' || CAST(o_orderkey % 30 AS VARCHAR) AS cluster,
         't' || CAST(o_custkey // 100 AS VARCHAR) AS topic FROM orders) r
 LEFT JOIN (SELECT cluster, topic, count(*) AS own_settings FROM overrides GROUP BY 1, 2) t USING (cluster, topic)""",

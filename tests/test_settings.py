@@ -75,7 +75,7 @@ def test_lookup(spark, tables):
                                   "request_id int, cluster string, topic string")
     found = {r["request_id"]: (r["cluster_found"], r["topic_found"], r["own_settings"])
              for r in settings.lookup(asked, *tables).collect()}
-    assert found == {1: (True, True, 3), 2: (True, False, None), 3: (False, False, None)}
+    assert found == {1: (True, True, 3), 2: (True, False, 0), 3: (False, False, 0)}
 
 
 def test_listing_pads_keys(tables):
