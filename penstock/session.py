@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
@@ -76,6 +77,24 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+_swept: set[str] = set()
+
+
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
-    """A new, unused folder below the shared root; every run gets its own."""
-    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new, unused folder below the shared root; every run gets its own.
+
+    All folders of an application lie below one of its own, which is removed
+    when the Python process that made them ends while the session still lives.
+    """
+    application = spark.sparkContext.applicationId
+    mine = f"{shared_root(spark)}/penstock-{application}"
+    if application not in _swept:
+        _swept.add(application)
+        atexit.register(_sweep, spark, mine)
+    return f"{mine}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _sweep(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None:
+        from penstock.sources import folders
+        folders.remove(spark, path)

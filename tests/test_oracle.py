@@ -3,6 +3,7 @@
 import __spark_entry__ as entry
 import compare
 import pytest
+from penstock.plans import registry
 
 
 @pytest.fixture(scope="module")
@@ -11,10 +12,11 @@ def duck(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", registry.queries())
 def test_query(spark, sf_dir, duck, name):
     assert compare.differences(entry.queries()[name](spark, sf_dir), duck, entry.oracle_sql()[name]) == []
 
