@@ -42,7 +42,7 @@ class Plan:
     words: int = 5
     percent: int = 80
     trees: int = 20
-    node: int = 512
+    node: int = 1_024
     depth: int = 24
     listed: int = 200_000
 
@@ -161,8 +161,9 @@ def _close_pairs(node: np.ndarray, doc: np.ndarray, size: np.ndarray, group: np.
     return np.concatenate(left), np.concatenate(right), np.concatenate(found)
 
 
-def _forest(left: np.ndarray, right: np.ndarray, matches: np.ndarray, doc: np.ndarray) -> list[int]:
-    """Numbers of the pairs that form a maximal spanning forest; ties go to smaller ids, alike in every tree."""
+def _forest(node: np.ndarray, left: np.ndarray, right: np.ndarray, matches: np.ndarray, doc: np.ndarray) -> list[int]:
+    """Numbers of the pairs that form a maximal spanning forest of each node; ties go to smaller ids, alike in
+    every tree."""
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -170,13 +171,20 @@ def _forest(left: np.ndarray, right: np.ndarray, matches: np.ndarray, doc: np.nd
             parent[x] = x = parent.get(up, up)
         return x
 
-    kept = []
-    low, high = np.minimum(doc[left], doc[right]), np.maximum(doc[left], doc[right])
-    for k in np.lexsort((high, low, -matches)).tolist():
-        a, b = root(int(left[k])), root(int(right[k]))
-        if a != b:
-            parent[a] = b
-            kept.append(k)
+    kept: list[int] = []
+    order = np.lexsort((np.maximum(doc[left], doc[right]), np.minimum(doc[left], doc[right]), -matches, node[left]))
+    edges = np.append(np.flatnonzero(np.diff(node[left[order]], prepend=node[left[order[0]]] - 1)), len(order))
+    for first, last in zip(edges.tolist(), edges[1:].tolist()):
+        here = order[first:last]
+        wanted = len(np.unique(np.concatenate([left[here], right[here]]))) - 1  # one tree, at most
+        for k, x, y in zip(here.tolist(), left[here].tolist(), right[here].tolist()):
+            a, b = root(x), root(y)
+            if a != b:
+                parent[a] = b
+                kept.append(k)
+                wanted -= 1
+                if not wanted:
+                    break
     return kept
 
 
@@ -191,7 +199,7 @@ def candidate_pairs(members: DataFrame, plan: Plan, across: bool) -> DataFrame:
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, FUNCTIONS)
         left, right, matches = _close_pairs(node, doc, size, group, sketch, side, plan)
         if not across and len(left):
-            kept = np.array(_forest(left, right, matches, doc))
+            kept = np.array(_forest(node, left, right, matches, doc))
             left, right = left[kept], right[kept]
         ends = np.unique(np.stack([np.minimum(doc[left], doc[right]), np.maximum(doc[left], doc[right])]), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], names=["a", "b"])
@@ -216,6 +224,19 @@ def candidate_pairs(members: DataFrame, plan: Plan, across: bool) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
+def alike(pairs: DataFrame, sketches: DataFrame, plan: Plan) -> DataFrame:
+    """The pairs (a, b) whose sketches and sizes allow the similarity."""
+    def near(a: pa.Array, b: pa.Array) -> pa.Array:
+        left, right = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, FUNCTIONS) for x in (a, b))
+        return pa.array((left == right).sum(axis=1) >= plan.least_matches())
+
+    side = [sketches.select(F.col("doc").alias(end), F.col("size").alias(f"size_{end}"),
+                            F.col("sketch").alias(f"sketch_{end}")) for end in "ab"]
+    sized = pairs.join(side[0], "a").join(side[1], "b").where(
+        100 * F.least("size_a", "size_b") >= plan.percent * F.greatest("size_a", "size_b"))
+    return sized.where(F.arrow_udf(near, "boolean")("sketch_a", "sketch_b")).select("a", "b")
+
+
 def _with_counts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes of several documents with their count and ends; the rows in nodes of three and more.
 
@@ -294,7 +315,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
 
 # ---------------------------------------------------------------- the operator
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: int = 20, node: int = 512,
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: int = 20, node: int = 1_024,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``.
 
@@ -325,7 +346,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
     def sketched(rows: DataFrame) -> DataFrame:
         return rows.join(sets.select("doc", "size", "sketch"), "doc")
 
-    pairs = written(candidate_pairs(sketched(members), plan, across=False).union(alone).distinct(), "pairs")
+    lone = alike(alone.distinct(), sets, plan)
+    pairs = written(candidate_pairs(sketched(members), plan, across=False).union(lone).distinct(), "pairs")
     links = written(confirmed(pairs, docs, plan), "confirmed")
     groups = written(components(links), "groups")
 
