@@ -37,7 +37,8 @@ _SALT = np.random.default_rng(8).integers(0, 2**32, FUNCTIONS, dtype=np.uint32)
 @dataclass(frozen=True)
 class Plan:
     """Words per shingle; least similarity in percent; trees; sets compared at once; depth before
-    a node is compared in blocks; ids up to which a list of documents is sent to every task."""
+    a node is compared in blocks; rows up to which a list of documents (of at most 40 bytes each) is sent to
+    every task, a longer one is joined by an exchange."""
 
     words: int = 5
     percent: int = 80
@@ -337,7 +338,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
     usable = base.where("n_shingles > 0 AND doc_id IS NOT NULL")
     copies = written(usable.groupBy(*name).agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
                      .where("n > 1").drop("n"), "copies")
-    named = usable.join(copies, name, "left").withColumn("first", F.coalesce("first", "doc_id"))
+    known = F.broadcast(copies) if copies.count() <= plan.listed else copies
+    named = usable.join(known, name, "left").withColumn("first", F.coalesce("first", "doc_id"))
     sets = named.where("first = doc_id").select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("size"),
                                                 "minima", "sketch")
     alone, members = _nodes(sets, plan)
@@ -362,7 +364,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
         groups = components(links.union(confirmed(more, docs, plan)))
 
     groups = groups.select(F.col("node").alias("first"), "component")
-    ends = base.select("doc_id", *name).join(copies, name, "left") \
+    ends = base.select("doc_id", *name).join(known, name, "left") \
         .withColumn("first", F.coalesce("first", "doc_id")).join(groups, "first", "left")
     component = F.coalesce("component", "first")
     return ends.select("doc_id", "n_shingles", component.alias("component_id"),
