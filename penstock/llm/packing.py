@@ -119,8 +119,8 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[bytes
         group: list[tuple] = []
         held, number = 0, None
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 if number is None:
                     number = part.column("task")[0].as_py() << 36
                 out: list[tuple] = []

@@ -17,10 +17,11 @@ from collections.abc import Callable
 import numpy as np
 
 #: Words remembered by a task; beyond it the table starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 #: Letters, digits, signs and white space on which this module and the library agree; tests compare all of them.
 _OTHER = re.compile("[^\\x00-\\x1b\\x20-\\x7e¡-¬®-±´-¸º»¿-įĲ-ň"
                     "Ŋ-ž‐-‧]|<\\|")
+_ODD_ASCII = "\x1c\x1d\x1e\x1f\x7f"
 _WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 
 
@@ -146,13 +147,21 @@ class WordIds:
         return out
 
     def _learn(self, words: set[str]) -> None:
-        parts = {w: [p.encode() for p in _WORD.findall(unicodedata.normalize("NFC", w).lower())] for w in words}
+        # a word of letters alone is one pre-token
+        parts = {w: [w.lower().encode()] if w.isalpha() else
+                 [p.encode() for p in _WORD.findall(unicodedata.normalize("NFC", w).lower())] for w in words}
         ids = self._pieces(list({p for found in parts.values() for p in found}))
         self.known.update((w, b"".join([ids[p] for p in found])) for w, found in parts.items())
 
+    @staticmethod
+    def _plain(text: str) -> bool:
+        if text.isascii():
+            return "<|" not in text and not any(x in text for x in _ODD_ASCII)
+        return not _OTHER.search(text)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [None if _OTHER.search(text) else text.split() for text in texts]
+        split = [text.split() if self._plain(text) else None for text in texts]
         if len(self.known) > REMEMBERED:
             self.known = {}
         new = set().union(*(words for words in split if words)).difference(self.known)
