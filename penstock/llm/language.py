@@ -27,6 +27,7 @@ from penstock.llm.store import prepared
 
 GRAMS = (1, 2, 3, 4)
 UNKNOWN = "und"
+UNIT = 1 << 32
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -113,7 +114,10 @@ def built(languages: list[str], counts: np.ndarray, fit: Fit) -> Filters:
 
 
 def gram_counts(rows: DataFrame, codes: int) -> DataFrame:
-    """(lang, code, count) over ``rows(lang, text)``: counted per task, then summed."""
+    """(lang, code, count) over ``rows(lang, text)``: counted per task, then summed.
+
+    The n-grams of one length count ``UNIT`` together in each text, so that a long text weighs as much as a short one.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -124,12 +128,15 @@ def gram_counts(rows: DataFrame, codes: int) -> DataFrame:
                     continue
                 of_byte = np.repeat(owner, np.diff(np.append(places, len(text))))
                 part = langs[first:last]
+                found = [(of_byte[at], code) for at, code in grams.hashed(text, GRAMS)]
+                weights = [UNIT // np.maximum(np.bincount(doc, minlength=last - first), 1) for doc, _ in found]
                 for lang in set(part):
                     mine = part == lang
                     total = held.setdefault(lang, np.zeros(codes, np.int64))
-                    for at, found in grams.hashed(text, GRAMS):
-                        chosen = found[mine[of_byte[at]]] & np.uint32(codes - 1)
-                        total += np.bincount(chosen, minlength=codes)
+                    for (doc, code), weight in zip(found, weights):
+                        chosen = mine[doc]
+                        total += np.bincount(code[chosen] & np.uint32(codes - 1), weight[doc[chosen]], codes) \
+                            .astype(np.int64)
         for lang, total in held.items():
             code = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(code), pa.string()), pa.array(code),

@@ -366,6 +366,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
     groups = groups.select(F.col("node").alias("first"), "component")
     ends = base.select("doc_id", *name).join(known, name, "left") \
         .withColumn("first", F.coalesce("first", "doc_id")).join(groups, "first", "left")
-    component = F.coalesce("component", "first")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "first"))
     return ends.select("doc_id", "n_shingles", component.alias("component_id"),
                        (F.col("doc_id") == component).alias("kept"))

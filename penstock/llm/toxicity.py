@@ -38,8 +38,8 @@ class Fit:
     is learned from, longer ones are only scored.
     """
 
-    rows: int = 2_500
-    longest: int = 12_000
+    rows: int = 2_000
+    longest: int = 8_000
     window: int = 32
     buckets: int = 1 << 18
     size: int = 8
@@ -90,8 +90,8 @@ def _windows(places: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.ndarr
 def train(texts: list[str], labels: np.ndarray, fit: Fit = Fit()) -> Model:
     """A model from whole texts and their labels (1: toxic)."""
     column = pa.array(texts, pa.string())
-    bag_grams, bag_doc = [], []
-    for first, _, data, offsets in text_bytes.slices(column, 1 << 30):
+    bag_grams, bag_size, bag_doc = [], [], []
+    for first, _, data, offsets in text_bytes.slices(column):
         text, places, owner = grams.normalised(data, offsets)
         begin, owner = _windows(places, owner, fit.window)
         found = grams.hashed(text, GRAMS)
@@ -99,13 +99,15 @@ def train(texts: list[str], labels: np.ndarray, fit: Fit = Fit()) -> Model:
         codes = np.concatenate([c for _, c in found]) & np.uint32(fit.buckets - 1)
         order = np.argsort(at, kind="stable")
         edges = np.searchsorted(at[order], begin)
-        bag_grams += np.split(codes[order].astype(np.int64), edges[1:])
-        bag_doc.append(owner + first)
+        if len(owner):
+            bag_grams.append(codes[order].astype(np.int32))
+            bag_size.append(np.diff(np.append(edges, len(order))))
+            bag_doc.append(owner + first)
     doc = np.concatenate(bag_doc) if bag_doc else np.zeros(0, np.int64)
     if not len(doc) or labels.min() == labels.max():
         return Model(np.zeros(fit.buckets, np.float32), -5.0 if not len(labels) or labels.max() == 0 else 5.0,
                      fit.window)
-    counts = np.array([len(b) for b in bag_grams])
+    counts = np.concatenate(bag_size)
     flat = np.concatenate(bag_grams)
     begin = np.concatenate([[0], np.cumsum(counts)[:-1]])
     mass = np.maximum(counts, LEAST_GRAMS)
@@ -185,6 +187,7 @@ def fitted(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), id_col: str = "
     learned from. Without any usable row, or with one label only, the model
     gives every text the same score.
     """
+    prepared(docs.sparkSession)
     known = labels.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{label_col}`").alias("label")) \
         .where("id IS NOT NULL AND label IN (0, 1)").dropDuplicates(["id"])
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
@@ -194,10 +197,18 @@ def fitted(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), id_col: str = "
         share = F.when(F.col("label") == label, min(1.0, fit.rows / max(size, 1))).otherwise(share)
     draw = F.pmod(F.xxhash64(F.lit(fit.seed), "id"), F.lit(1 << 30)) < share * (1 << 30)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")) \
-        .where(F.length("text") <= fit.longest).join(known.where(draw), "id").select("id", "text", "label") \
-        .limit(4 * fit.rows).collect()
-    rows = sorted(rows, key=lambda r: (r["id"], r["text"]))
-    return train([r["text"] for r in rows], np.array([int(r["label"]) for r in rows], np.int64), fit)
+        .where(F.length("text") <= fit.longest).join(known.where(draw), "id").select("id", "text", "label")
+
+    def learn(sample: pa.Table) -> pa.Table:
+        ordered = sample.sort_by([("id", "ascending"), ("text", "ascending")])
+        model = train(ordered.column("text").to_pylist(), ordered.column("label").to_numpy().astype(np.int64), fit)
+        return pa.table({"weights": [model.weights.tobytes()], "bias": [model.bias]})
+
+    # one task: the sample is bounded by Fit
+    found = rows.withColumn("sample", F.lit(0)).groupBy("sample").applyInArrow(learn, "weights binary, bias double").first()
+    if found is None:
+        return train([], np.zeros(0, np.int64), fit)
+    return Model(np.frombuffer(found["weights"], np.float32), found["bias"], fit.window)
 
 
 def scores(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
