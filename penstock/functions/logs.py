@@ -25,6 +25,7 @@ LOG_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in LOG_F
 
 BAD_TIME = "unreadable time_stamp"
 NO_APP = "missing app_name"
+BAD_JSON = "invalid json"
 
 
 def _col(c: Column | str) -> Column:
@@ -75,8 +76,14 @@ def log_rows(normalized: DataFrame) -> DataFrame:
 
 
 def log_rejects(normalized: DataFrame) -> DataFrame:
-    """The complement of :func:`log_rows`, with a reason."""
-    return normalized.where(~has_key()).withColumn("reason", reject_reason())
+    """The complement of :func:`log_rows`, with a reason.
+
+    A column ``unreadable`` (see ``kafka.json_table``) tells that the message was no JSON.
+    """
+    reason = reject_reason()
+    if "unreadable" in normalized.columns:
+        reason = F.when(F.col("unreadable").isNotNull(), F.lit(BAD_JSON)).otherwise(reason)
+    return normalized.where(~has_key()).withColumn("reason", reason)
 
 
 def log_file_name(path: Column | str) -> Column:

@@ -92,7 +92,10 @@ def archive_plan(commits: DataFrame, limits: DataFrame, table: str = "table_id",
 
 
 def retention_plan(df: DataFrame, day: str, as_of: str, keep_days: int = 7) -> DataFrame:
-    """Row count of every day and whether it is past retention (older than ``keep_days`` full days)."""
+    """Row count of every day and whether it is past retention (older than ``keep_days`` full days).
+
+    A name that is no day is never past it.
+    """
     oldest_kept = F.date_sub(F.lit(as_of).cast("date"), keep_days)
     return df.groupBy(day).agg(F.count("*").alias("rows")).withColumn(
-        "expired", F.to_date(F.col(day)) < oldest_kept)
+        "expired", F.coalesce(F.col(day).try_cast("date") < oldest_kept, F.lit(False)))

@@ -78,11 +78,15 @@ def has_rows(df: DataFrame) -> bool:
 
 
 def with_names(config: DataFrame) -> DataFrame:
-    """Schema and table name, split at the first dot; NULL where the name has no such form."""
-    def part(i: int) -> Column:
+    """Schema and table name: as the table stores them, else the full name split at the first dot.
+
+    NULL where neither is there.
+    """
+    def part(i: int, stored: str) -> Column:
         valid = F.col("full_table_name").rlike(QUALIFIED_NAME_PATTERN)
-        return F.when(valid, F.regexp_extract("full_table_name", QUALIFIED_NAME_PATTERN, i))
-    return config.withColumn("schema_name", part(1)).withColumn("table_name", part(2))
+        split = F.when(valid, F.regexp_extract("full_table_name", QUALIFIED_NAME_PATTERN, i))
+        return F.coalesce(F.col(stored), split) if stored in config.columns else split
+    return config.withColumns({"schema_name": part(1, "schema_name"), "table_name": part(2, "table_name")})
 
 
 def reject_reason() -> Column:
@@ -162,7 +166,7 @@ def with_status(config: DataFrame, outcomes: DataFrame, as_of: Column | None = N
     joined = with_names(config).join(last, ["schema_name", "table_name"], "left")
     return joined.select(*[
         F.when(ran, stamps[c]).otherwise(F.col(c)).alias(c) if c in stamps else F.col(c)
-        for c in ["schema_name", "table_name", *config.columns]
+        for c in dict.fromkeys(["schema_name", "table_name", *config.columns])
     ])
 
 

@@ -11,7 +11,6 @@ from penstock.functions.logs import key_value_line
 
 SCHEMA = "cluster string, topic string, role string, key string, value string"
 CLIENT_ROLES = ["producer", "consumer"]
-MAX_SECTION_KEYS = 2000
 
 # Group titles of the listing.
 CLUSTER_GROUPS = {
@@ -141,13 +140,8 @@ def sections(settings: DataFrame, allowed: DataFrame) -> DataFrame:
 
 
 def section(settings: DataFrame, cluster: str, topic: str, role: str) -> dict[str, str]:
-    """The settings of one client as a plain dict, to hand to a connector.
-
-    Bounded: a section that is larger than any real client configuration is an error.
-    """
+    """The settings of one client, all of them, as a plain dict to hand to a connector."""
     rows = settings.where(
         (F.col("cluster") == cluster) & (F.col("topic") == topic) & (F.col("role") == role)
-    ).select("key", "value").limit(MAX_SECTION_KEYS + 1).collect()
-    if len(rows) > MAX_SECTION_KEYS:
-        raise ValueError(f"more than {MAX_SECTION_KEYS} settings for {cluster}/{topic}/{role}")
+    ).select("key", "value").collect()
     return {r["key"]: r["value"] for r in rows}

@@ -115,13 +115,18 @@ def records_as_text(records: DataFrame) -> DataFrame:
     return records.withColumn("key", F.col("key").cast("string")).withColumn("value", F.col("value").cast("string"))
 
 
-def json_table(records: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
+def json_table(records: DataFrame, schema: T.StructType, *keep: str, unreadable: str | None = None) -> DataFrame:
     """A declared table over JSON message values; fields a message lacks are NULL.
 
     An unreadable message gives a row of NULLs, which the key check downstream
-    sets aside, instead of stopping the stream.
+    sets aside, instead of stopping the stream. ``unreadable`` names a further
+    column that keeps the text of such a message.
     """
-    row = once(F.from_json(F.col("value").cast("string"), schema))
+    options = {}
+    if unreadable is not None:
+        schema = T.StructType([*schema.fields, T.StructField(unreadable, T.StringType())])
+        options["columnNameOfCorruptRecord"] = unreadable
+    row = once(F.from_json(F.col("value").cast("string"), schema, options))
     return records.withColumn("_row", row).select("_row.*", *keep)
 
 
@@ -149,5 +154,5 @@ def drop_repeats(records: DataFrame) -> DataFrame:
 
 def within_size(messages: DataFrame, limit: int, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """Messages a queue accepts, and the oversized rest."""
-    ok = fits_message(value, limit)
+    ok = F.coalesce(fits_message(value, limit), F.lit(True))  # a null value has no size
     return messages.where(ok), messages.where(~ok)

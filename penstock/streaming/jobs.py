@@ -7,7 +7,8 @@ checkpoint, so a restart goes on where the last finished batch ended.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,15 @@ DAY_COLUMN = "load_date"
 
 def _started(writer: DataStreamWriter, checkpoint: str, interval: str | None, once: bool) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
+    if not once:
+        return writer.trigger(processingTime=interval).start()
+    while True:
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        # A source that doesn't know this trigger takes one batch, which its cap may have cut: ask it again.
+        last = query.lastProgress
+        if not (last and last["numInputRows"] and any("Python" in s["description"] for s in last["sources"])):
+            return query
 
 
 def printed(lines: DataFrame, column: str = "report", prefix: str = device.PRINT_PREFIX) -> DataFrame:
@@ -36,11 +45,14 @@ def printed(lines: DataFrame, column: str = "report", prefix: str = device.PRINT
     return lines.select(F.concat(F.lit(prefix), F.col(column)).alias("line"))
 
 
-def print_lines(lines: DataFrame, checkpoint: str, rows: int = 20, interval: str = COMMIT_INTERVAL,
+def print_lines(lines: DataFrame, checkpoint: str, rows: int | None = None, interval: str = COMMIT_INTERVAL,
                 once: bool = False, **options) -> StreamingQuery:
-    """Show each batch's first rows on the driver's console, to watch a stream. :func:`write_lines` keeps them all."""
-    writer = printed(lines, **options).writeStream.format("console").option("truncate", "false").option("numRows", rows)
-    return _started(writer, checkpoint, interval, once)
+    """Print every line on the driver's console, a partition at a time; with ``rows`` only each batch's first ones."""
+    def batch(found: DataFrame, _: int) -> None:
+        for row in (found if rows is None else found.limit(rows)).toLocalIterator():
+            print(row["line"])
+
+    return _started(printed(lines, **options).writeStream.foreachBatch(batch), checkpoint, interval, once)
 
 
 def write_lines(lines: DataFrame, path: str, checkpoint: str, interval: str = COMMIT_INTERVAL,
@@ -50,12 +62,31 @@ def write_lines(lines: DataFrame, path: str, checkpoint: str, interval: str = CO
 
 
 def send(records: DataFrame, settings: Mapping[str, str], topic: str, checkpoint: str,
-         interval: str = COMMIT_INTERVAL, once: bool = False, limit: int | None = None) -> StreamingQuery:
-    """Send key and value columns to a topic (at least once); ``limit`` holds back oversized values."""
-    if limit is not None:
-        records, _ = kafka.within_size(records, limit)
+         interval: str = COMMIT_INTERVAL, once: bool = False, limit: int | None = None,
+         oversized: str | None = None) -> StreamingQuery:
+    """Send key and value columns to a topic (at least once).
+
+    With a ``limit``, records whose value is larger go to parquet files below
+    ``oversized`` instead; every record ends in one of the two.
+    """
     options = kafka.sink_options(settings, topic)
-    return _started(records.writeStream.format("kafka").options(**options), checkpoint, interval, once)
+    if limit is None:
+        return _started(records.writeStream.format("kafka").options(**options), checkpoint, interval, once)
+    if oversized is None:
+        raise ValueError("a limit needs a folder for oversized records")
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        split_send(rows, limit, f"{oversized}/batch={batch_id}",
+                   lambda fitting: fitting.write.format("kafka").options(**options).save())
+
+    return _started(records.writeStream.foreachBatch(batch), checkpoint, interval, once)
+
+
+def split_send(rows: DataFrame, limit: int, oversized: str, sink: Callable[[DataFrame], None]) -> None:
+    """Oversized rows into a folder, replacing what an earlier attempt left there; the others to the sink."""
+    fitting, large = kafka.within_size(rows, limit)
+    large.write.mode("overwrite").parquet(oversized)
+    sink(fitting)
 
 
 def lake_table(spark: SparkSession, path: str) -> LakeTable:
@@ -102,24 +133,35 @@ def with_day(lines: DataFrame, arrival: Column | None = None) -> DataFrame:
     return lines.withColumn(DAY_COLUMN, F.date_format(at, "yyyy-MM-dd"))
 
 
-def archive_batch(lines: DataFrame, path: str, value: str = "value") -> None:
-    """Gzip text files per day: a day with many lines is split at the roll size, a small day stays in one file."""
-    rows = lines.select(value, DAY_COLUMN).hint("rebalance", F.col(DAY_COLUMN))
+def archive_batch(lines: DataFrame, path: str, value: str = "value", batch: str | None = None) -> None:
+    """Gzip text files per day: a day with many lines is split at the roll size, a small day stays in one file.
+
+    The files lie in ``load_date=<day>/batch=<name>``; a batch written again
+    under its name replaces itself, an unnamed one adds to its days.
+    """
+    name = F.lit(batch or uuid.uuid4().hex).alias("batch")
+    rows = lines.select(value, DAY_COLUMN, name).hint("rebalance", F.col(DAY_COLUMN))
     with session.conf(lines.sparkSession, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": ROLL_BYTES}):
-        rows.write.mode("append").partitionBy(DAY_COLUMN).option("compression", "gzip").text(path)
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY_COLUMN, "batch")
+         .option("compression", "gzip").text(path))
 
 
 def archive_stream(lines: DataFrame, path: str, checkpoint: str, value: str = "value",
                    interval: str = ROLL_INTERVAL, once: bool = False) -> StreamingQuery:
-    """The same from a stream: files roll with each trigger and appear only when complete."""
-    writer = (lines.select(value, DAY_COLUMN).writeStream.format("text").option("path", path)
-              .option("compression", "gzip").partitionBy(DAY_COLUMN))
-    return _started(writer, checkpoint, interval, once)
+    """The same from a stream: files roll with each trigger and at the roll size; a repeated batch replaces itself.
+
+    Plain folders without a log of files, so that expired days can be removed below running readers.
+    """
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        writer = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        archive_batch(rows, path, value, f"{writer}-{batch_id}")
+
+    return _started(lines.writeStream.foreachBatch(batch), checkpoint, interval, once)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Archived lines with their day."""
-    return spark.read.schema(f"value string, {DAY_COLUMN} string").text(path)
+    return spark.read.schema(f"value string, {DAY_COLUMN} string, batch string").text(path).drop("batch")
 
 
 def expire_days(spark: SparkSession, path: str, as_of: str, keep_days: int = 7) -> list[str]:

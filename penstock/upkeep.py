@@ -7,6 +7,7 @@ table, streamed, never collected) and notes one outcome per table.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -23,8 +24,9 @@ def run_plan(config: DataFrame, body: Callable[[Row], object], outcomes_path: st
     """Run ``body`` for every runnable config row, most urgent first; returns the outcomes.
 
     Outcomes are written every few tables, so those of finished tables survive
-    the driver.
+    the driver. Each run has a folder of its own below ``outcomes_path``.
     """
+    outcomes_path = f"{outcomes_path}/run={uuid.uuid4().hex}"
     spark = config.sparkSession
     named = maintenance.with_upkeep_limits(maintenance.with_names(config))
     plan = maintenance.by_priority(named.where(maintenance.reject_reason().isNull()))

@@ -79,6 +79,10 @@ def test_json_table_sets_unreadable_messages_aside(spark):
                                     "value binary")
     rows = kafka.json_table(records, logs.LOG_SCHEMA).collect()
     assert [r["app_name"] for r in rows] == ["a", None, None]
+    kept = kafka.json_table(records, logs.LOG_SCHEMA, unreadable="unreadable")
+    rejects = logs.log_rejects(logs.normalize_logs(kept, "unreadable")).collect()
+    assert sorted((r["reason"], r["unreadable"] or "") for r in rejects) == [
+        ("invalid json", "{oops"), ("missing app_name", ""), ("unreadable time_stamp", "")]
 
 
 @pytest.mark.parametrize("level, limit, shown", [
@@ -144,3 +148,9 @@ def test_closed_files_by_name_and_path(spark, folder):
     assert sorted(r["value"] for r in lines.collect()) == ["a.log", "sub/b.log"]
     only = line_files.read_lines(spark, folder, pattern=r".*/sub/[^/]+\.log")
     assert [r["value"] for r in only.collect()] == ["sub/b.log"]
+
+
+def test_a_folder_that_is_no_day_never_expires(spark):
+    df = spark.createDataFrame([("__HIVE_DEFAULT_PARTITION__",), ("2020-01-01",)], "load_date string")
+    plan = lake.retention_plan(df, "load_date", "2024-01-31").collect()
+    assert {r["load_date"]: r["expired"] for r in plan} == {"__HIVE_DEFAULT_PARTITION__": False, "2020-01-01": True}

@@ -124,3 +124,24 @@ def test_statements_for_a_deployed_format(spark):
     assert "set hoodie.keep.max.commits = 31" in statements
     with pytest.raises(ValueError):
         upkeep.upkeep_statements(rows[1])
+
+
+def test_a_shorter_second_run_has_its_own_outcomes(spark, folder):
+    for names in (["db.a", "db.b", "db.c"], ["db.a"]):
+        plan = config(spark, [(n, 1, 1) for n in names])
+        outcomes = upkeep.run_plan(plan, lambda row: None, f"{folder}/outcomes")
+        assert sorted(r["table_name"] for r in outcomes.collect()) == [n[3:] for n in names]
+
+
+def test_stored_names_are_kept(spark, folder):
+    rows = config(spark, [("odd", 1, 1), ("db.t", 1, 2)]).withColumns({
+        "schema_name": F.when(F.col("full_table_name") == "odd", F.lit("s2")),
+        "table_name": F.when(F.col("full_table_name") == "odd", F.lit("t2"))})
+    status = [F.lit(None).cast("string").alias(c) for c in
+              ("last_compaction_time", "last_compaction_status", "yarn_application_id", "updated_time", "updated_by")]
+    folders.write_next(rows.select("*", *status), f"{folder}/config")
+    outcomes = upkeep.run_plan(folders.read_newest(spark, f"{folder}/config"), lambda row: None, f"{folder}/outcomes")
+    upkeep.record_status(spark, f"{folder}/config", outcomes)
+    after = {r["full_table_name"]: r for r in folders.read_newest(spark, f"{folder}/config").collect()}
+    assert (after["odd"]["schema_name"], after["odd"]["table_name"]) == ("s2", "t2")
+    assert {r["last_compaction_status"] for r in after.values()} == {"SUCCESS"}

@@ -104,10 +104,10 @@ def test_connector_options(tables):
     assert not any("transaction" in k or "serializer" in k for k in producer)
 
 
-def test_section_refuses_oversized(spark, tables, monkeypatch):
-    monkeypatch.setattr(settings, "MAX_SECTION_KEYS", 1)
-    with pytest.raises(ValueError):
-        settings.section(settings.effective(tables[1], *tables), "main", "T1", "producer")
+def test_section_has_every_key(spark):
+    many = spark.range(2500).selectExpr("'c' as cluster", "'t' as topic", "'producer' as role",
+                                        "concat('k', id) as key", "'v' as value")
+    assert len(settings.section(many, "c", "t", "producer")) == 2500
 
 
 def test_queue_records(spark):
@@ -123,4 +123,19 @@ def test_queue_connector_is_named(spark, folder):
         kafka.read_stream(spark, kafka.source_options({"bootstrap.servers": "h:1"}, "t"))
     stream = spark.readStream.format("rate").load().selectExpr("'k' as key", "'v' as value")
     with pytest.raises(Exception, match="kafka"):
-        jobs.send(stream, {"bootstrap.servers": "h:1"}, "t", f"{folder}/cp", once=True, limit=10).awaitTermination()
+        jobs.send(stream, {"bootstrap.servers": "h:1"}, "t", f"{folder}/cp", once=True, limit=10,
+                  oversized=f"{folder}/large").awaitTermination()
+    with pytest.raises(ValueError):
+        jobs.send(stream, {"bootstrap.servers": "h:1"}, "t", f"{folder}/cp2", limit=10)
+
+
+def test_every_record_is_sent_or_set_aside(spark, folder):
+    rows = spark.createDataFrame([("k", "v" * n) for n in range(30)] + [("k", None)], "key string, value string")
+    sent = []
+    for _ in range(2):
+        sent.clear()
+        jobs.split_send(rows, 1024, f"{folder}/none", lambda x: sent.extend(x.collect()))
+    small = [r for r in sent]
+    jobs.split_send(rows, 20, f"{folder}/large", lambda x: sent.append(x.count()))
+    assert len(small) == 31
+    assert sent[-1] + spark.read.parquet(f"{folder}/large").count() == 31

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from penstock.functions import device, logs
 from penstock.operators import counters
 from penstock.plans import fixtures
-from penstock.sources import generator
+from penstock.sources import generator, tail
 from penstock.streaming import jobs
 
 
@@ -82,10 +82,14 @@ def test_archive_stream_writes_gzip_per_day_and_expires(spark, sf_dir, folder):
     lines = jobs.with_day(raw.select(F.col("props").alias("value"), F.col("ts").cast("timestamp").alias("ts")),
                           F.col("ts"))
     jobs.archive_stream(lines, f"{folder}/out", f"{folder}/checkpoint", once=True).awaitTermination()
-    files = list(pathlib.Path(folder, "out").glob("load_date=*/*.txt.gz"))
+    files = list(pathlib.Path(folder, "out").glob("load_date=*/batch=*/*.txt.gz"))
     assert files
     want = events.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("load_date"), "props").count()
     assert rows(jobs.read_archive(spark, f"{folder}/out").groupBy("load_date", "value").count()) == rows(want)
+    days = sorted(r["load_date"] for r in want.select("load_date").distinct().collect())
+    assert jobs.expire_days(spark, f"{folder}/out", days[-1], keep_days=0) == days[:-1]
+    left = jobs.read_archive(spark, f"{folder}/out").groupBy("load_date", "value").count()
+    assert rows(left) == rows(want.where(F.col("load_date") == days[-1]))
 
 
 def test_expired_days_are_removed(spark, folder):
@@ -96,6 +100,28 @@ def test_expired_days_are_removed(spark, folder):
     assert [tuple(r) for r in jobs.read_archive(spark, f"{folder}/out").collect()] == [("c", "2024-01-24")]
 
 
+def test_archive_batch_replaces_itself(spark, folder):
+    for name, text in (("x", "a"), ("x", "b"), ("y", "c")):
+        lines = spark.createDataFrame([(text, "2024-01-01")], "value string, load_date string")
+        jobs.archive_batch(lines, folder, batch=name)
+    assert sorted(r["value"] for r in jobs.read_archive(spark, folder).collect()) == ["b", "c"]
+
+
+def test_every_line_is_printed(spark, folder, capfd):
+    spark.range(60).selectExpr("concat('line ', id) as report").write.parquet(f"{folder}/in")
+    lines = spark.readStream.schema("report string").parquet(f"{folder}/in")
+    jobs.print_lines(lines, f"{folder}/checkpoint", prefix="", once=True)
+    assert sorted(capfd.readouterr().out.split("\n")) == sorted(["", *(f"line {i}" for i in range(60))])
+
+
+def test_a_capped_source_is_taken_to_its_end(spark, folder):
+    pathlib.Path(folder, "in").mkdir()
+    pathlib.Path(folder, "in", "a.log").write_text("".join(f"line {i}\n" for i in range(103)))
+    lines = tail.read_stream(spark, f"{folder}/in", maxBytesPerFile=200)
+    jobs.write_lines(lines, f"{folder}/out", f"{folder}/checkpoint", once=True)
+    assert spark.read.schema(tail.SCHEMA).parquet(f"{folder}/out").count() == 103
+
+
 def test_archive_adds_to_a_day(spark, folder):
     for text in ("a", "b"):
         jobs.archive_batch(spark.createDataFrame([(text, "2024-01-01")], "value string, load_date string"), folder)
