@@ -10,14 +10,14 @@ pair is never in one small node is negligible.
 Equal sets are first put under the smallest id. In a node only the links of a
 maximal spanning forest (by the similarity of 128-byte sketches) are kept, for
 a group of m near copies m - 1 instead of all pairs; they are confirmed on the
-full sets. A second pass then looks at the nodes that still hold documents of
-different groups and confirms every remaining pair between groups, so a forest
-link that failed hides no other.
+full sets. A second pass looks at the nodes that still hold near documents of
+different groups and confirms, within the node, every near pair between groups
+that no link has joined by then, so a forest link that failed hides no other.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -189,22 +189,8 @@ def _forest(node: np.ndarray, left: np.ndarray, right: np.ndarray, matches: np.n
     return kept
 
 
-def candidate_pairs(members: DataFrame, plan: Plan, across: bool) -> DataFrame:
-    """Pairs (a, b) from ``members(node, doc, size, sketch, side[, component])``, nodes of bounded size.
-
-    ``across``: every near pair of different components; else the forest of each node.
-    """
-    def pairs(table: pa.Table) -> pa.RecordBatch:
-        node, doc, size, side = (table.column(c).to_numpy() for c in ("node", "doc", "size", "side"))
-        group = table.column("component").to_numpy() if across else None
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, FUNCTIONS)
-        left, right, matches = _close_pairs(node, doc, size, group, sketch, side, plan)
-        if not across and len(left):
-            kept = np.array(_forest(node, left, right, matches, doc))
-            left, right = left[kept], right[kept]
-        ends = np.unique(np.stack([np.minimum(doc[left], doc[right]), np.maximum(doc[left], doc[right])]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], names=["a", "b"])
-
+def _by_node(members: DataFrame, work: Callable[[pa.Table], pa.RecordBatch], schema: str) -> DataFrame:
+    """``work`` on the rows of whole nodes, as many at a time as a batch holds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
         for batch in batches:
@@ -217,12 +203,74 @@ def candidate_pairs(members: DataFrame, plan: Plan, across: bool) -> DataFrame:
             cut = int(np.searchsorted(node, node[-1], side="left"))  # the last node may go on in the next batch
             rest = table.slice(cut)
             if cut:
-                yield pairs(table.slice(0, cut))
+                yield work(table.slice(0, cut))
         if rest is not None and rest.num_rows:
-            yield pairs(rest)
+            yield work(rest)
 
-    ordered = members.repartition("node").sortWithinPartitions("node", "doc")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    return members.repartition("node").sortWithinPartitions("node", "doc").mapInArrow(run, schema)
+
+
+def _columns(table: pa.Table) -> tuple[np.ndarray, ...]:
+    node, doc, size, side, group = (table.column(c).to_numpy() for c in ("node", "doc", "size", "side", "component"))
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, FUNCTIONS)
+    return node, doc, size, side, group, sketch
+
+
+def candidate_pairs(members: DataFrame, plan: Plan) -> DataFrame:
+    """The spanning forest (a, b) of near pairs of each node of ``members(node, doc, size, sketch, side)``."""
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        node, doc, size, side, _, sketch = _columns(table)
+        left, right, matches = _close_pairs(node, doc, size, None, sketch, side, plan)
+        if len(left):
+            kept = np.array(_forest(node, left, right, matches, doc))
+            left, right = left[kept], right[kept]
+        ends = np.unique(np.stack([np.minimum(doc[left], doc[right]), np.maximum(doc[left], doc[right])]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], names=["a", "b"])
+
+    return _by_node(members.withColumn("component", F.col("doc")), pairs, "a long, b long").distinct()
+
+
+def still_near(members: DataFrame, plan: Plan) -> DataFrame:
+    """The rows (node, doc) of ``members`` that have a near pair in their node of another component."""
+    def rows(table: pa.Table) -> pa.RecordBatch:
+        node, doc, size, side, group, sketch = _columns(table)
+        left, right, _ = _close_pairs(node, doc, size, group, sketch, side, plan)
+        kept = np.unique(np.concatenate([left, right]))
+        return pa.RecordBatch.from_arrays([pa.array(node[kept]), pa.array(doc[kept])], names=["node", "doc"])
+
+    return _by_node(members, rows, "node long, doc long")
+
+
+def confirmed_within(members: DataFrame, plan: Plan) -> DataFrame:
+    """Links (a, b) that join components, from ``members(..., component, shingles)``: every near pair of different
+    components of a node is confirmed on the full sets, until a link has joined the two."""
+    def links(table: pa.Table) -> pa.RecordBatch:
+        node, doc, size, side, group, sketch = _columns(table)
+        left, right, matches = _close_pairs(node, doc, size, group, sketch, side, plan)
+        lists = table.column("shingles").combine_chunks()
+        values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+        up: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (above := up.get(x, x)) != x:
+                up[x] = x = up.get(above, above)
+            return x
+
+        found: list[tuple[int, int]] = []
+        for k in np.argsort(-matches, kind="stable").tolist():
+            i, j = int(left[k]), int(right[k])
+            p, q = root(int(group[i])), root(int(group[j]))
+            if p == q:
+                continue
+            x, y = (values[offsets[n]:offsets[n + 1]] for n in (i, j))
+            common = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * common >= plan.percent * (len(x) + len(y) - common):
+                up[p] = q
+                found.append((int(doc[i]), int(doc[j])))
+        ends = list(zip(*found)) or [[], []]
+        return pa.RecordBatch.from_arrays([pa.array(e, pa.int64()) for e in ends], names=["a", "b"])
+
+    return _by_node(members, links, "a long, b long")
 
 
 def alike(pairs: DataFrame, sketches: DataFrame, plan: Plan) -> DataFrame:
@@ -300,12 +348,17 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the similarity."""
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
+def _sets_of(ids: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
+    """(doc_id, shingles) of the documents in ``ids(doc_id)``."""
+    ids = written(ids.distinct(), "pair-ids")
     few = ids.count() <= plan.listed
-    sets = written(shingle_sets(docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi"), plan.words),
+    return written(shingle_sets(docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi"), plan.words),
                    "shingle-sets")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets reach the similarity."""
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), docs, plan)
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     common = F.size(F.array_intersect("x", "y")).cast("long")
@@ -349,7 +402,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
         return rows.join(sets.select("doc", "size", "sketch"), "doc")
 
     lone = alike(alone.distinct(), sets, plan)
-    pairs = written(candidate_pairs(sketched(members), plan, across=False).union(lone).distinct(), "pairs")
+    pairs = written(candidate_pairs(sketched(members), plan).union(lone).distinct(), "pairs")
     links = written(confirmed(pairs, docs, plan), "confirmed")
     groups = written(components(links), "groups")
 
@@ -357,11 +410,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
         members["node"], "doc", "side", F.coalesce("component", "doc").alias("component"))
     mixed = placed.groupBy("node").agg(F.min("component").alias("low"), F.max("component").alias("high")) \
         .where("low <> high").select("node")
-    tested = pairs.select("a", "b")
-    more = written(candidate_pairs(sketched(placed.join(mixed, "node", "left_semi")), plan, across=True)
-                   .join(tested, ["a", "b"], "left_anti"), "more-pairs")
-    if more.limit(1).count():
-        groups = components(links.union(confirmed(more, docs, plan)))
+    open_ = placed.join(mixed, "node", "left_semi")
+    near = written(still_near(sketched(open_), plan), "still-near")
+    if near.limit(1).count():
+        shingles = _sets_of(near.select(F.col("doc").alias("doc_id")), docs, plan) \
+            .select(F.col("doc_id").alias("doc"), "shingles")
+        rows = sketched(open_.join(near.distinct(), ["node", "doc"], "left_semi")).join(shingles, "doc")
+        groups = components(links.union(confirmed_within(rows, plan)))
 
     groups = groups.select(F.col("node").alias("first"), "component")
     ends = base.select("doc_id", *name).join(known, name, "left") \
