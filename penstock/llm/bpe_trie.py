@@ -23,7 +23,7 @@ from penstock.llm.store import prepared
 from penstock.llm.word_ids import byte_letters
 
 #: Words, and pairs of tokens, remembered by a task; beyond it the table starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 #: Characters outside the ranges on which the pattern below and the library's agree; tests compare all of them.
 UNUSUAL = re.compile("[^\\x00-\\x1b\\x20-\\x7e¡-±´-¸º»¿-ɏ‐-‧€]")
 # Fixed value: the pattern of byte-level vocabularies, in the terms of ``re``, for texts without unusual characters.

@@ -98,34 +98,42 @@ class CountTree:
             leaf, place = leaf + 1, 0
 
 
+def _plain(bpe: bpe_trie.TrieBpe, text: str) -> bool:
+    """The pattern cuts the text as the library does."""
+    return not bpe_trie.UNUSUAL.search(text) and not ("<" in text and any(x in text for x in bpe.special))
+
+
 class CountedText:
     """A text with its tree; ``recounted`` is the number of pre-tokens counted since it was made."""
 
-    def __init__(self, text: str, bpe: bpe_trie.TrieBpe, tree: CountTree | None = None) -> None:
+    def __init__(self, text: str, bpe: bpe_trie.TrieBpe, tree: CountTree | None = None,
+                 pieces: list[str] | None = None) -> None:
         self.bpe, self.text, self.recounted = bpe, text, 0
-        self.tree = tree if tree is not None else self._built()
-
-    def _plain(self, text: str) -> bool:
-        return not bpe_trie.UNUSUAL.search(text) and not ("<" in text and any(x in text for x in self.bpe.special))
+        self.tree = tree if tree is not None else self._built(pieces)
 
-    def _built(self) -> CountTree:
-        if not self._plain(self.text):
+    def _built(self, pieces: list[str] | None = None) -> CountTree:
+        if not _plain(self.bpe, self.text):
             # cut by the library: one leaf entry, always counted anew
             return CountTree([len(self.text)], [len(self.bpe.encode([self.text])[0]) // 4])
-        pieces = bpe_trie.PIECE.findall(self.text)
-        return CountTree(list(map(len, pieces)), self._counts(pieces))
+        if pieces is None:
+            pieces = bpe_trie.PIECE.findall(self.text)
+            self.bpe.learn(set(pieces))
+        return CountTree(list(map(len, pieces)), self._known(pieces))
 
     def _counts(self, pieces: list[str]) -> list[int]:
         self.bpe.learn(set(pieces))
-        return [len(self.bpe.known[p]) // 4 for p in pieces]
+        return self._known(pieces)
+
+    def _known(self, pieces: list[str]) -> list[int]:
+        return [len(ids) // 4 for ids in map(self.bpe.known.__getitem__, pieces)]
 
     def edit(self, at: int, removed: int, added: str) -> None:
         """Replace ``removed`` characters from ``at`` by ``added``; ranges beyond the text are cut off."""
         at = max(0, min(at, len(self.text)))
         removed = max(0, min(removed, len(self.text) - at))
-        plain = self._plain(self.text)
+        plain = _plain(self.bpe, self.text)
         before, self.text = len(self.text), self.text[:at] + added + self.text[at + removed:]
-        if not plain or not before or not self._plain(self.text):
+        if not plain or not before or not _plain(self.bpe, self.text):
             self.tree = self._built()
             self.recounted += self.tree.pieces
             return
@@ -183,21 +191,31 @@ def edit_counts(docs: DataFrame, path: str, edits_col: str = "edits", id_col: st
                 part = batch.slice(first, 256)
                 texts = part.column("text").to_pylist()
                 # the distinct words of all these texts in one walk
-                bpe.learn({p for t, kept in zip(texts, part.column("counts").to_pylist()) if kept is None
-                           for p in bpe_trie.PIECE.findall(t)})
-                yield _edited(part, texts, bpe)
+                cut = [bpe_trie.PIECE.findall(t) if kept is None else None
+                       for t, kept in zip(texts, part.column("counts").to_pylist())]
+                words = set().union(*(pieces for pieces in cut if pieces))
+                yield _edited(part, texts, cut, words, bpe)
 
     return rows.mapInArrow(run, f"{RESULT}, text string, lengths binary, counts binary")
 
 
-def _edited(part: pa.RecordBatch, texts: list[str], bpe: bpe_trie.TrieBpe) -> pa.RecordBatch:
-    rows: list[tuple] = []
-    for text, edits, lengths, counts in zip(texts, *(part.column(c).to_pylist()
-                                                    for c in ("edits", "lengths", "counts"))):
+def _edited(part: pa.RecordBatch, texts: list[str], cut: list[list[str] | None], words: set[str],
+            bpe: bpe_trie.TrieBpe) -> pa.RecordBatch:
+    bpe.learn(words)
+    # all trees first: counting an edit's words may clear what is remembered
+    made = []
+    for text, pieces, lengths, counts in zip(texts, cut, *(part.column(c).to_pylist() for c in ("lengths", "counts"))):
         tree = None
         if lengths is not None and counts is not None:
-            tree = CountTree(*(np.frombuffer(x, "<i4").tolist() for x in (lengths, counts)))
-        held = CountedText(text, bpe, tree)
+            tree, pieces = CountTree(*(np.frombuffer(x, "<i4").tolist() for x in (lengths, counts))), None
+        if pieces is not None and not _plain(bpe, text):
+            pieces = None
+        made.append((text, pieces, tree))
+    texts_held = [CountedText(t, bpe, tree, pieces) for t, pieces, tree in made if pieces is not None or tree is not None]
+    ready = iter(texts_held)
+    rows: list[tuple] = []
+    for (text, pieces, tree), edits in zip(made, part.column("edits").to_pylist()):
+        held = next(ready) if pieces is not None or tree is not None else CountedText(text, bpe)
         before = held.tree.total
         for edit in edits or []:
             if edit is not None and edit["at"] is not None:
