@@ -17,10 +17,14 @@ def merge_on_read(base: DataFrame, log: DataFrame, keys: Sequence[str], order: S
     A log row is newer than the base row of its key: the base is what earlier
     log rows were folded into. So a base row stays exactly when no log row has
     its key, and the base needs neither ranking nor, while the log's keys are
-    small enough for Spark to broadcast, a shuffle. A log known to hold each
-    key once (``log_has_repeats=False``) is not ranked either.
+    small enough for Spark to broadcast, a shuffle. (One outer join would read
+    the log once instead of twice, but move every base row for it.) A log known
+    to hold each key once (``log_has_repeats=False``) is neither ranked nor
+    made distinct.
     """
-    touched = log.select(*keys).distinct()
+    touched = log.select(*keys)
+    if log_has_repeats:
+        touched = touched.distinct()
     kept = base.join(touched, list(keys), "left_anti").select(*base.columns)
     newest = latest_per_key(log, keys, order) if log_has_repeats else log
     if is_delete:

@@ -52,17 +52,49 @@ def _client_defaults(defaults: DataFrame, with_server: bool) -> DataFrame:
         F.element_at(F.array(F.lit("server"), F.lit("cluster")), F.col("entry.layer") + 1).alias("inherited_from"))
 
 
-def effective(topics: DataFrame, defaults: DataFrame, overrides: DataFrame, with_server: bool = True) -> DataFrame:
+def _with_code(wanted: DataFrame, below: DataFrame, code: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """What every wanted topic inherits, and the program's settings of it.
+
+    A topic becomes one row that meets its cluster's defaults and one per
+    program setting, which has no cluster to meet.
+    """
+    names = ["set_role", "set_key", "set_value"]
+    entries = [(None, None, None), *((r, k, v) for r, values in code.items() for k, v in values.items())]
+    rows = F.array(*[F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(names, entry)])
+                     for entry in entries])
+    spread = wanted.select("cluster", "topic", F.inline(rows)).withColumn(
+        "meets", F.when(F.col("set_role").isNull(), F.col("cluster")))
+    return spread.join(below.withColumnRenamed("cluster", "meets"), "meets", "left").select(
+        "cluster", "topic", F.coalesce("set_role", "role").alias("role"), F.coalesce("set_key", "key").alias("key"),
+        F.coalesce("set_value", "inherited").alias("inherited"),
+        F.when(F.col("set_role").isNotNull(), F.lit("code")).otherwise(F.col("inherited_from"))
+        .alias("inherited_from")).where(F.col("role").isNotNull())
+
+
+def effective(topics: DataFrame, defaults: DataFrame, overrides: DataFrame, with_server: bool = True,
+              code: Mapping[str, Mapping[str, str]] | None = None) -> DataFrame:
     """The settings in force for each given (cluster, topic) and client role.
 
-    Topic settings win over cluster role defaults, those over server settings
+    What the program sets (``code``: role → key → value) wins over topic
+    settings, those over cluster role defaults, those over server settings
     (left out with ``with_server=False``). A topic without settings of its own
-    gets the defaults. Topics meet their cluster's defaults by an equi-join on
-    the cluster, whose build side has one row per configured key.
+    gets the defaults, and every given topic gets the program's settings of
+    each role, whether anything is configured for it or not.
+
+    Topics meet their cluster's defaults by an equi-join on the cluster, whose
+    build side has one row per configured key. The program's layer goes into
+    the same merge and adds no exchange to it.
     """
     wanted = topics.select("cluster", "topic").distinct()
-    inherited = wanted.join(_client_defaults(defaults, with_server), "cluster")
+    below = _client_defaults(defaults, with_server)
     own = overrides.join(wanted, ["cluster", "topic"], "left_semi").select(*_ENTRY, "value")
+    for role, values in (code or {}).items():
+        unset = (F.col("role") != role) | ~F.col("key").isin(list(values))
+        below, own = below.where(unset), own.where(unset)
+    if code:
+        inherited = _with_code(wanted, below, code)
+    else:
+        inherited = wanted.join(below, "cluster")
     return inherited.join(own, _ENTRY, "full_outer").select(
         *_ENTRY,
         F.coalesce("value", "inherited").alias("value"),
@@ -70,16 +102,6 @@ def effective(topics: DataFrame, defaults: DataFrame, overrides: DataFrame, with
     )
 
 
-def with_code_overrides(settings: DataFrame, code: Mapping[str, str]) -> DataFrame:
-    """A last layer set by the program: replaces values, adds missing keys per (cluster, topic, role)."""
-    if not code:
-        return settings
-    entries = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).alias("value")) for k, v in code.items()])
-    added = settings.select("cluster", "topic", "role").distinct().select(
-        "cluster", "topic", "role", F.inline(entries)).withColumn("layer", F.lit("code"))
-    return settings.where(~F.col("key").isin(list(code))).unionByName(added)
-
-
 def invalid_keys(settings: DataFrame, allowed: DataFrame) -> DataFrame:
     """Client settings whose key is not on its role's list. Server settings are not checked."""
     clients = settings.where(F.col("role").isin(CLIENT_ROLES))

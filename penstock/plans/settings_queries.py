@@ -9,8 +9,8 @@ from penstock.operators import settings
 from penstock.plans import fixtures
 from penstock.plans.fixture_sql import SETTINGS, with_parts
 
-# A layer a program sets over everything configured.
-CODE = {"k1": "code", "k99": "code"}
+# A layer a program sets over everything configured: some keys of one role, others of the other.
+CODE = {"producer": {"k1": "code", "k99": "code"}, "consumer": {"k2": "code-read"}}
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -37,7 +37,7 @@ def settings_topic(spark, sf_dir):
 
 def settings_in_code(spark, sf_dir):
     defaults, overrides = _tables(spark, sf_dir)
-    return settings.with_code_overrides(settings.effective(overrides, defaults, overrides), CODE)
+    return settings.effective(_topics(defaults, overrides), defaults, overrides, code=CODE)
 
 
 def settings_invalid_keys(spark, sf_dir):
@@ -101,9 +101,11 @@ ORACLE = {
         _CONFIGURED + " UNION SELECT cluster, 't-none' FROM defaults", True)),
     "settings_topic": with_parts(_EFFECTIVE, *_resolved(_CONFIGURED, False)),
     "settings_in_code": with_parts("""
-SELECT cluster, topic, role, key, value, layer FROM effective WHERE key NOT IN ('k1', 'k99')
-UNION ALL SELECT DISTINCT cluster, topic, role, c.key, 'code', 'code' FROM effective,
-  (SELECT 'k1' AS key UNION ALL SELECT 'k99') c""", *_resolved(_CONFIGURED, True)),
+SELECT e.* FROM effective e LEFT JOIN code c ON e.role = c.role AND e.key = c.key WHERE c.key IS NULL
+UNION ALL SELECT DISTINCT t.cluster, t.topic, c.role, c.key, c.value, 'code' FROM topics t, code c""",
+                                   *_resolved(_CONFIGURED + " UNION SELECT cluster, 't-none' FROM defaults", True), """
+code AS (SELECT 'producer' AS role, 'k1' AS key, 'code' AS value UNION ALL SELECT 'producer', 'k99', 'code'
+  UNION ALL SELECT 'consumer', 'k2', 'code-read')"""),
     "settings_invalid_keys": with_parts("""
 SELECT cluster, topic, role, key, value FROM (
   SELECT cluster, NULL AS topic, role, key, value FROM defaults UNION ALL

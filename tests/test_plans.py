@@ -64,3 +64,29 @@ def test_base_is_not_moved_when_the_log_is_small(spark, folder):
     merged = lake.merge_on_read(base, log, ["k"], ["seq"])
     merged.write.format("noop").mode("overwrite").save()
     assert "BroadcastHashJoin" in plan(merged) and "SortMergeJoin" not in plan(merged)
+
+
+@pytest.mark.parametrize("repeats", [True, False])
+def test_unique_log_keys_are_not_made_distinct(spark, folder, repeats):
+    from penstock.operators import lake
+    spark.range(1000).selectExpr("id as k", "id as v", "0L as seq").write.parquet(f"{folder}/base")
+    spark.range(100).selectExpr("id * 3 as k", "id as v", "id as seq").write.parquet(f"{folder}/log")
+    base, log = spark.read.parquet(f"{folder}/base"), spark.read.parquet(f"{folder}/log")
+    merged = lake.merge_on_read(base, log, ["k"], ["seq"], log_has_repeats=repeats)
+    assert ("HashAggregate" in plan(merged)) == repeats
+    assert merged.count() == 1000
+
+
+def test_the_program_layer_moves_no_more_rows(spark, sf_dir):
+    from penstock.operators import settings
+    from penstock.plans import settings_queries
+    defaults, overrides = settings_queries._tables(spark, sf_dir)
+    topics = settings_queries._topics(defaults, overrides)
+
+    def moved(code):
+        df = settings.effective(topics, defaults, overrides, code=code)
+        df.collect()
+        final = plan(df).split("Initial Plan")[0]
+        return len(re.findall(r"(?<!Reused)Exchange ", final))
+
+    assert moved(settings_queries.CODE) <= moved(None)

@@ -53,11 +53,17 @@ def test_topic_configuration_leaves_server_out(tables):
     assert "bootstrap.servers" not in found["main", "T2", "producer"]
 
 
-def test_code_wins(tables):
-    merged = settings.effective(tables[1], *tables)
-    found = sections(settings.with_code_overrides(merged, {"auto.offset.reset": "earliest"}))
-    assert found["main", "T1", "consumer"]["auto.offset.reset"] == ("earliest", "code")
-    assert settings.with_code_overrides(merged, {}) is merged
+def test_code_wins_per_role(spark, tables):
+    topics = spark.createDataFrame([("main", "T1"), ("main", "none"), ("no", "T1")], "cluster string, topic string")
+    code = {"consumer": {"auto.offset.reset": "earliest", "group.id": "G9"}, "producer": {"linger.ms": "0"}}
+    found = sections(settings.effective(topics, *tables, code=code))
+    plain = sections(settings.effective(topics, *tables))
+    for topic in ["T1", "none"]:
+        assert found["main", topic, "consumer"] == plain["main", topic, "consumer"] | {
+            "auto.offset.reset": ("earliest", "code"), "group.id": ("G9", "code")}
+        assert found["main", topic, "producer"] == plain["main", topic, "producer"] | {"linger.ms": ("0", "code")}
+    assert found["no", "T1", "producer"] == {"linger.ms": ("0", "code")}  # nothing is configured there
+    assert sections(settings.effective(topics, *tables, code={"consumer": {}})) == plain
 
 
 def test_allowed_keys(spark, tables):
