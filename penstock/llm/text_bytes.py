@@ -96,7 +96,7 @@ def shingle_hashes(codes: np.ndarray, texts: np.ndarray, size: int) -> tuple[np.
     count = len(codes)
     total = np.zeros(count, dtype=np.uint64)
     held = np.zeros(count, dtype=np.int64)
-    for i in range(size):
+    for i in range(min(size, count)):
         same = texts[i:] == texts[:count - i] if i else np.ones(count, dtype=bool)
         part = np.where(same, codes[i:], np.uint64(0)) * factors[i]
         total[:count - i] += part

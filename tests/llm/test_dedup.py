@@ -7,7 +7,9 @@ import re
 from collections import defaultdict
 
 import numpy as np
-from penstock.llm import line_dedup, near_dup
+import pyarrow as pa
+import pytest
+from penstock.llm import line_dedup, near_dup, text_bytes
 from penstock.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -116,6 +118,21 @@ def test_groups_of_odd_texts(odd_docs, no_docs, odd_rows):
     assert near_dup.near_duplicates(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("size", [4, 5])
+def test_few_words_alone_in_a_slice(spark, size):
+    for count in range(7):
+        hashes, owner = text_bytes.shingle_hashes(np.arange(count, dtype=np.uint64), np.zeros(count, np.int64), size)
+        assert len(hashes) == len(owner) == (max(1, count - size + 1) if count else 0)
+    long = "a long text " * 100_000
+    assert len(long) > text_bytes.SLICE_BYTES
+    texts = [long, "two words", long + "more"]
+    assert list(map(len, near_dup._sets(pa.array(texts), size))) == [len(sets_by_hand(t, size)) for t in texts]
+    for count in range(1, 7):
+        rows = [(1, " ".join(f"w{i}" for i in range(count)))]
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        assert found(near_dup.signed(frame, size).select("doc_id", "n_shingles")) == [(1, max(1, count - size + 1))]
+
+
 def near_copies(seed, groups, copies, length, changes):
     rng = random.Random(seed)
     rows = []
