@@ -220,6 +220,26 @@ def test_replies(spark):
     assert chat.chat(frame.where("false")).count() == 0
 
 
+PARTS = [
+    (1, 0, "user", "First we knead. Then we wait.\nThen we bake\n\nAll of it twice?"),
+    (1, 1, "assistant", "Nothing else\n\n>>> print(x)\nis code of my own"),
+    (1, 2, "user", "> Then we bake\nHow hot?\n\n> then we  WAIT.\nHow long?"),
+    (1, 3, "user", "> First we knead. Then\n> we wait. Then we bake\nI see"),
+    (1, 4, "user", "> How hot?\n> never said\nVery"),
+    (1, 5, "user", "> Then we wait. Then\n> we sleep.\nNo"),
+]
+
+
+def test_quotations_in_part(spark):
+    """A line, a sentence, a passage wrapped anew; what has no original stays."""
+    frame = spark.createDataFrame(PARTS, "conv_id long, turn long, role string, text string")
+    got = {r["turn"]: r for r in chat.chat(frame).collect()}
+    assert {t: (r["reply_to"], r["n_quotes"], r["n_linked"]) for t, r in got.items()} == {
+        0: (None, 0, 0), 1: (None, 1, 0), 2: (0, 2, 2), 3: (0, 1, 1), 4: (2, 1, 1), 5: (0, 1, 1)}
+    assert {t: r["body"] for t, r in got.items() if t} == {
+        1: PARTS[1][3], 2: "How hot?\n\nHow long?", 3: "I see", 4: "> never said\nVery", 5: PARTS[5][3]}
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_stages(spark, sf_dir):
