@@ -93,11 +93,41 @@ def op4_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def quoting(messages: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text, quotes): every message, quoting earlier ones before its own text.
+
+    The tables' messages quote nothing. Here each turn quotes one of the three before it, in turns all of
+    it, its first line, its last sentence, or all of it wrapped anew, and every other one also, at the second
+    level, the first line of the turn before that. ``quotes`` holds what was quoted (level, origin, passage);
+    it is null where there is no such turn.
+    """
+    salt = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(24)).cast("int")
+    rows = messages.select("conv_id", "turn", "role", "text", (salt % 4).alias("way"), (salt % 8 < 4).alias("deep"),
+                           (F.col("turn") - 1 - (salt / 8).cast("int")).alias("at"))
+    rows = rows.withColumn("at", F.when(F.col("at") < 0, F.col("turn") - 1).otherwise(F.col("at")))
+    texts = messages.groupBy("conv_id", F.col("turn").alias("at")).agg(F.min("text").alias("said"))
+    deeper = texts.select("conv_id", (F.col("at") + 1).alias("at"), F.substring_index("said", "\n", 1).alias("older"))
+    joined = rows.join(texts, ["conv_id", "at"], "left").join(deeper, ["conv_id", "at"], "left")
+    last = F.element_at(F.split("said", r"(?<=[.!?])\s+|\n"), -1)
+    wrapped = F.regexp_replace(F.regexp_replace("said", r"\s+", " "), r"(.{30,60}?) ", "$1\n")
+    passage = F.when(F.col("way") == 0, F.col("said")).when(F.col("way") == 1, F.substring_index("said", "\n", 1)) \
+        .when(F.col("way") == 2, last).otherwise(wrapped)
+    near = F.struct(F.lit(1).alias("level"), F.col("at").alias("origin"), passage.alias("passage"))
+    far = F.when(F.col("deep"), F.struct(F.lit(2).alias("level"), (F.col("at") - 1).alias("origin"),
+                                         F.col("older").alias("passage")))
+    quotes = F.when(F.col("said").isNotNull(), F.filter(F.array(far, near), lambda x: x["passage"].isNotNull()))
+    out = joined.select("conv_id", "turn", "role", "text", quotes.alias("quotes"))
+    marked = F.array_join(F.transform("quotes", lambda x: F.regexp_replace(
+        x["passage"], "(?m)^", F.when(x["level"] == 1, "> ").otherwise(">> "))), "\n")
+    return out.withColumn("text", F.when(F.col("quotes").isNull(), F.col("text")).otherwise(
+        F.concat_ws("\n\n", marked, F.col("text"))))
+
+
 def op5_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.chat(table(spark, sf_dir, "conversations"))
+    """Conversations whose messages quote earlier ones, derived from the whole table."""
+    return chat.chat(quoting(table(spark, sf_dir, "conversations")))
 
 
-# Quotes are linked by the test against a brute-force version; the tables' messages hold none.
 def op6_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three edits of every document: a cut in its middle, its beginning repeated, a passage in capitals."""
     docs = table(spark, sf_dir, "documents").withColumn("size", F.length("text"))

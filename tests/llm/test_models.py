@@ -240,6 +240,27 @@ def test_quotations_in_part(spark):
         1: PARTS[1][3], 2: "How hot?\n\nHow long?", 3: "I see", 4: "> never said\nVery", 5: PARTS[5][3]}
 
 
+def test_derived_quotations_have_their_origins(spark, sf_dir):
+    messages = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    rows = queries.quoting(messages).collect()
+    got = {(r["conv_id"], r["turn"]): r for r in queries.op5_chat_quotes(spark, sf_dir).collect()}
+    own = {(r["conv_id"], r["turn"]): r["text"] for r in messages.collect()}
+    assert len(got) == len(rows) == len(own)
+    quoting = [r for r in rows if r["quotes"]]
+    assert len(quoting) == sum(t > 0 for _, t in own)
+    assert {x["level"] for r in quoting for x in r["quotes"]} == {1, 2}
+    for r in rows:
+        out = got[r["conv_id"], r["turn"]]
+        near = [x["origin"] for x in r["quotes"] or [] if x["level"] == 1]
+        assert out["reply_to"] == (near[0] if near else None)
+        assert out["n_linked"] == out["n_quotes"] and (out["n_quotes"] > 0) == bool(near)
+        assert out["body"] == own[r["conv_id"], r["turn"]].strip()
+        above = got[r["conv_id"], near[0]] if near else out
+        assert out["thread"] == above["thread"] and (near or out["thread"] == r["turn"])
+    order = [(r["conv_id"], r["thread"], r["turn"]) for r in queries.op5_chat_quotes(spark, sf_dir).collect()]
+    assert order == sorted(order)
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_stages(spark, sf_dir):
