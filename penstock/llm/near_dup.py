@@ -5,7 +5,10 @@ minimum of one hash function over their shingles, splits nodes that are too
 large by the minimum of a further function, and so on; two sets stay together
 with the probability of their Jaccard similarity at each step. Small nodes are
 compared exhaustively. Independent trees are repeated until the chance that a
-pair is never in one small node is negligible.
+pair is never in one small node is negligible. Where nodes went on so deep that
+the trees do not suffice, as in a family of documents around one boilerplate,
+the documents concerned are also joined by the rarest of their shingles: two
+near sets have one in common there, for certain, whatever the depth.
 
 Equal sets are first put under the smallest id. In a node only the links of a
 maximal spanning forest (by the similarity of 128-byte sketches) are kept, for
@@ -37,7 +40,8 @@ _SALT = np.random.default_rng(8).integers(0, 2**32, FUNCTIONS, dtype=np.uint32)
 @dataclass(frozen=True)
 class Plan:
     """Words per shingle; least similarity in percent; trees; sets compared at once; depth before
-    a node is compared in blocks; rows up to which a list of documents (of at most 40 bytes each) is sent to
+    a node is compared in blocks; chance of missing a pair beyond which a document is also joined by its rare
+    shingles; rows up to which a list of documents (of at most 40 bytes each) is sent to
     every task, a longer one is joined by an exchange."""
 
     words: int = 5
@@ -45,6 +49,7 @@ class Plan:
     trees: int = 20
     node: int = 1_024
     depth: int = 24
+    missed: float = 3e-5
     listed: int = 200_000
 
     def coordinate(self, level: int) -> list[int]:
@@ -52,10 +57,17 @@ class Plan:
         return [(tree + level * self.trees + (level * self.trees // FUNCTIONS) * 7) % FUNCTIONS
                 for tree in range(self.trees)]
 
+    def safe_levels(self) -> int:
+        """Functions by which every tree may split before a pair at the least similarity is missed too often."""
+        level = 0
+        while (1 - (self.percent / 100) ** (level + 1)) ** self.trees <= self.missed and level < self.depth:
+            level += 1
+        return level
+
     def least_matches(self) -> int:
-        """Equal sketch bytes that a pair at the least similarity falls short of once in 4,000 times."""
+        """Equal sketch bytes that a pair at the least similarity falls short of about once in a million times."""
         share = self.percent / 100
-        return int(FUNCTIONS * share - 3.5 * (FUNCTIONS * share * (1 - share)) ** 0.5)
+        return int(FUNCTIONS * share - 5 * (FUNCTIONS * share * (1 - share)) ** 0.5)
 
 
 # ---------------------------------------------------------------- texts to sets
@@ -297,8 +309,9 @@ def _with_counts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return counts, rows.join(counts.where("count > 2").select("node", "count"), "node")
 
 
-def _nodes(sets: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
-    """The pairs that are alone in a node, and the members (node, doc, side) of the larger small nodes.
+def _nodes(sets: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """The pairs that are alone in a node, the members (node, doc, side) of the larger small nodes, and the documents
+    (doc) whose nodes lie too deep for the trees, None if no node went so far.
 
     ``side`` is 0 where all pairs of the node count, else 1 or 2 for a pair of blocks.
     """
@@ -308,7 +321,8 @@ def _nodes(sets: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
     first = [f"named_struct('tree', {tree}, 'node', xxhash64({tree}, {part(str(at))}))"
              for tree, at in enumerate(plan.coordinate(0))]
     rows = sets.select("doc", F.explode(F.expr(f"array({', '.join(first)})")).alias("x")).select("x.*", "doc")
-    alone, members, level = [], [], 0
+    alone, members, level, safe = [], [], 0, plan.safe_levels()
+    deep = None if safe else sets.select("doc").distinct()
     while True:
         counts, live = _with_counts(rows)
         alone.append(counts.where("count = 2").select("a", "b"))
@@ -326,18 +340,22 @@ def _nodes(sets: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
         spread = f"element_at(array({', '.join(map(str, plan.coordinate(level)))}), tree + 1)"
         rows = written(large.select("tree", F.expr(f"xxhash64(node, {part(spread)})").alias("node"), "doc", "minima"),
                        "large-nodes")
-    return _union(alone), _union(members)
+        # one tree that goes on is enough: how deep a document comes depends on what it shares
+        if level == safe:
+            deep = rows.select("doc").distinct()
+    return _union(alone), _union(members), deep
 
 
-def _blocks(large: DataFrame, counts: DataFrame, plan: Plan) -> DataFrame:
-    """Members of nodes that no further function splits, as all pairs of blocks of half a node's size."""
+def _blocks(large: DataFrame, counts: DataFrame, plan: Plan, *others: str) -> DataFrame:
+    """Members of nodes that no further function splits, as all pairs of blocks of half a node's size; ``others`` are
+    columns that go with them."""
     wide = counts.where(F.col("count") > plan.node).withColumn(
         "blocks", F.ceil(F.col("count") * 4 / plan.node).cast("int")).select("node", "blocks")
-    held = large.select("node", "doc").join(wide, "node").withColumn(
+    held = large.select("node", "doc", *others).join(wide, "node").withColumn(
         "block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    return held.select("doc", "node", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")) \
+    return held.select("doc", *others, "node", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")) \
         .select(F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other")).alias("node"), "doc",
-                F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
+                *others, F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
                 .alias("side"))
 
 
@@ -367,6 +385,107 @@ def confirmed(pairs: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
         .where(100 * F.col("common") >= plan.percent * (F.col("total") - F.col("common"))).select("a", "b")
 
 
+# ---------------------------------------------------------------- documents in deep nodes
+
+#: Shingles are counted by this many of their bits, so the counts have one size for any table.
+_COUNTED = 18
+
+
+def _bucket(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - _COUNTED)).astype(np.int64)
+
+
+def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
+    """How often shingles of each bucket stand in ``docs``; orders them by rarity, roughly, which is enough."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << _COUNTED, np.int64)
+        for batch in batches:
+            for shingles in _sets(batch.column("text"), words):
+                np.add.at(total, _bucket(shingles), 1)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["bucket", "n"])
+
+    summed = docs.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")) \
+        .toArrow()
+    counts = np.zeros(1 << _COUNTED, np.int64)
+    counts[summed.column("bucket").to_numpy()] = summed.column("n").to_numpy()
+    return counts
+
+
+def rare_shingles(docs: DataFrame, counts: np.ndarray, plan: Plan) -> DataFrame:
+    """(node, doc, size, place, short): the rarest shingles of each set, enough that near sets share one.
+
+    Of a near pair the first common shingle, in any one order of all shingles, stands among the first
+    n - ceil(t n) + 1 of the larger set and, as ``short`` says, the first n - ceil(2 t n / (1 + t)) + 1 of the other.
+    """
+    schema = pa.schema([("node", pa.int64()), ("doc", pa.int64()), ("size", pa.int64()), ("place", pa.int64()),
+                        ("short", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, shingles in zip(batch.column("doc_id").to_pylist(), _sets(batch.column("text"), plan.words)):
+                n = len(shingles)
+                if not n:
+                    continue
+                long = n - -(-plan.percent * n // 100) + 1
+                short = n - -(-2 * plan.percent * n // (100 + plan.percent)) + 1
+                first = shingles[np.lexsort((shingles, counts[_bucket(shingles)]))[:long]]
+                place = np.arange(len(first))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(first.view(np.int64)), pa.array(np.full(len(first), doc)),
+                     pa.array(np.full(len(first), n)), pa.array(place), pa.array(place < short)], schema=schema)
+
+    return docs.mapInArrow(run, "node long, doc long, size long, place long, short boolean")
+
+
+def crossing_pairs(members: DataFrame, plan: Plan) -> DataFrame:
+    """The pairs (a, b) of different components that share a node of ``members(..., component, place)`` and that
+    sizes, places and sketches allow to be near."""
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        node, doc, size, side, group, sketch = _columns(table)
+        left_over = size - table.column("place").to_numpy()
+        ends, rows, shift = [np.zeros((2, 0), np.int64)], np.arange(len(node)), 1
+        while True:
+            rows = rows[rows + shift < len(node)]
+            rows = rows[node[rows] == node[rows + shift]]
+            if not len(rows):
+                break
+            other = rows + shift
+            # what is common comes from the shared shingle on
+            common = np.minimum(left_over[rows], left_over[other])
+            wanted = (group[rows] != group[other]) & ((side[rows] != side[other]) | (side[rows] == 0)) & (
+                (100 + plan.percent) * common >= plan.percent * (size[rows] + size[other]))
+            i, j = rows[wanted], other[wanted]
+            near = (sketch[i] == sketch[j]).sum(axis=1) >= plan.least_matches()
+            i, j = doc[i[near]], doc[j[near]]
+            ends.append(np.stack([np.minimum(i, j), np.maximum(i, j)]))
+            shift += 1
+        found = np.unique(np.concatenate(ends, axis=1), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
+
+    return _by_node(members, pairs, "a long, b long").distinct()
+
+
+def deep_links(deep: DataFrame, docs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame | None:
+    """Links (a, b) between components of the documents ``deep(doc, component)``, None if there is nothing to find."""
+    ends = deep.agg(F.min("component"), F.max("component")).first()
+    if ends[0] == ends[1]:
+        return None
+    ids = deep.select(F.col("doc").alias("doc_id"))
+    texts = written(docs.join(F.broadcast(ids) if deep.count() <= plan.listed else ids, "doc_id", "left_semi"),
+                    "deep-texts")
+    rare = written(rare_shingles(texts, shingle_counts(texts, plan.words), plan), "rare-shingles").join(deep, "doc")
+    nodes = written(rare.groupBy("node").agg(F.count("*").alias("count"), F.min("component").alias("low"),
+                                             F.max("component").alias("high"), F.max("short").alias("short"))
+                    .where("low <> high AND short").select("node", "count"), "rare-nodes")
+    live = rare.join(nodes, "node").drop("short")
+    small = live.where(F.col("count") <= plan.node).withColumn("side", F.lit(0)).drop("count")
+    large = live.where(F.col("count") > plan.node)
+    apart = _blocks(large, nodes, plan, "size", "place", "component")
+    members = small.unionByName(apart).join(sets.select("doc", "size", "sketch"), ["doc", "size"])
+    return confirmed(written(crossing_pairs(members, plan), "deep-pairs"), docs, plan)
+
+
 # ---------------------------------------------------------------- the operator
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: int = 20, node: int = 1_024,
@@ -395,7 +514,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
     named = usable.join(known, name, "left").withColumn("first", F.coalesce("first", "doc_id"))
     sets = named.where("first = doc_id").select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("size"),
                                                 "minima", "sketch")
-    alone, members = _nodes(sets, plan)
+    alone, members, deep = _nodes(sets, plan)
     members = written(members, "members")
 
     def sketched(rows: DataFrame) -> DataFrame:
@@ -416,7 +535,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
         shingles = _sets_of(near.select(F.col("doc").alias("doc_id")), docs, plan) \
             .select(F.col("doc_id").alias("doc"), "shingles")
         rows = sketched(open_.join(near.distinct(), ["node", "doc"], "left_semi")).join(shingles, "doc")
-        groups = components(links.union(confirmed_within(rows, plan)))
+        links = written(links.union(confirmed_within(rows, plan)), "links-within")
+        groups = written(components(links), "groups")
+    if deep is not None:
+        placed = written(deep.join(groups, deep["doc"] == groups["node"], "left").select(
+            "doc", F.coalesce("component", "doc").alias("component")), "deep")
+        further = deep_links(placed, docs, sets, plan)
+        if further is not None:
+            groups = components(links.union(further))
 
     groups = groups.select(F.col("node").alias("first"), "component")
     ends = base.select("doc_id", *name).join(known, name, "left") \

@@ -184,3 +184,23 @@ def test_recall_of_pairs_at_the_threshold(spark):
     got = found(near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=4))
     assert sum(not r[3] for r in want) == 20
     assert sum(not r[3] for r in got) == 150
+
+
+def test_pairs_within_a_boilerplate_family(spark):
+    """Sets that share 85 of 100 shingles with every other one (J 0.74), among them pairs at 0.8; nodes are split far
+    deeper than 20 trees allow for."""
+    base = " ".join(f"b{i}" for i in range(88))
+    own = [[f"d{i}w{j}" for j in range(15)] for i in range(300)]
+    for i in range(0, 100, 2):
+        own[i + 1][:4] = own[i][:4]
+    rows = [(i * 7 % 1009, f"{base} {' '.join(words)}") for i, words in enumerate(own)]
+    want = groups_by_hand(rows, 4)
+    assert sum(not r[3] for r in want) == 50
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=4, node=16)
+    assert found(got) == want
+
+
+def test_sketches_turn_away_one_pair_in_a_million():
+    from math import comb
+    least = near_dup.Plan().least_matches()
+    assert sum(comb(128, k) * .8 ** k * .2 ** (128 - k) for k in range(least)) < 2e-6
