@@ -23,6 +23,8 @@ from penstock.llm.store import prepared
 LEAF = 64
 #: Code points behind a pre-token that can change where it ends.
 AHEAD = 2
+#: Code points behind an edit that are cut at first; doubled until a cut falls on an old one.
+WINDOW = 64
 
 RESULT = "doc_id long, tokens_before long, tokens_after long, n_pieces long, n_recounted long"
 
@@ -98,9 +100,22 @@ class CountTree:
             leaf, place = leaf + 1, 0
 
 
-def _plain(bpe: bpe_trie.TrieBpe, text: str) -> bool:
-    """The pattern cuts the text as the library does."""
-    return not bpe_trie.UNUSUAL.search(text) and not ("<" in text and any(x in text for x in bpe.special))
+def _cut(bpe: bpe_trie.TrieBpe, text: str) -> list[str]:
+    """The pre-tokens of a text, cut by the library where it must be; a special token's mark is one of them."""
+    out: list[str] = []
+    for part in [text] if bpe.parts is None or "<" not in text else bpe.parts.split(text):
+        if part in bpe.special:
+            out.append(part)
+        elif part:
+            pieces = bpe.pieces(part)
+            out += pieces if isinstance(pieces[0], str) else [x.decode() for x in pieces]
+    return out
+
+
+def _learn(bpe: bpe_trie.TrieBpe, words: set[str]) -> None:
+    bpe.learn(words - bpe.special.keys())
+    # no pre-token of other text reads like a mark
+    bpe.known.update((x, np.array([number], "<u4").tobytes()) for x, number in bpe.special.items())
 
 
 class CountedText:
@@ -112,35 +127,51 @@ class CountedText:
         self.tree = tree if tree is not None else self._built(pieces)
 
     def _built(self, pieces: list[str] | None = None) -> CountTree:
-        if not _plain(self.bpe, self.text):
-            # cut by the library: one leaf entry, always counted anew
-            return CountTree([len(self.text)], [len(self.bpe.encode([self.text])[0]) // 4])
         if pieces is None:
-            pieces = bpe_trie.PIECE.findall(self.text)
-            self.bpe.learn(set(pieces))
+            pieces = _cut(self.bpe, self.text)
+            _learn(self.bpe, set(pieces))
         return CountTree(list(map(len, pieces)), self._known(pieces))
 
     def _counts(self, pieces: list[str]) -> list[int]:
-        self.bpe.learn(set(pieces))
+        _learn(self.bpe, set(pieces))
         return self._known(pieces)
 
     def _known(self, pieces: list[str]) -> list[int]:
         return [len(ids) // 4 for ids in map(self.bpe.known.__getitem__, pieces)]
 
+    def _pieces_from(self, start: int, ahead: int) -> Iterator[str]:
+        """The pre-tokens from one's start on, cut in windows; what a window's end may have changed is cut again."""
+        width = WINDOW
+        while start < len(self.text):
+            stop = start + width
+            end = start
+            for piece in _cut(self.bpe, self.text[start:stop]):
+                end += len(piece)
+                if end > stop - ahead and stop < len(self.text):
+                    break
+                start = end
+                yield piece
+            else:
+                return
+            width *= 2
+
     def edit(self, at: int, removed: int, added: str) -> None:
         """Replace ``removed`` characters from ``at`` by ``added``; ranges beyond the text are cut off."""
         at = max(0, min(at, len(self.text)))
         removed = max(0, min(removed, len(self.text) - at))
-        plain = _plain(self.bpe, self.text)
-        before, self.text = len(self.text), self.text[:at] + added + self.text[at + removed:]
-        if not plain or not before or not _plain(self.bpe, self.text):
+        before, self.text = self.text, self.text[:at] + added + self.text[at + removed:]
+        if not before:
             self.tree = self._built()
             self.recounted += self.tree.pieces
             return
-        # a pre-token sees AHEAD characters behind it at most, so one that ends before that stays
-        leaf, place, start = self.tree.locate(max(0, at - AHEAD - 1))
+        # a pre-token sees AHEAD characters behind it at most, or a mark there, so one that ends before that stays
+        mark, ahead = max(map(len, self.bpe.special), default=0) + AHEAD, AHEAD
+        if "<" in before[max(0, at - mark):at + removed] or "<" in added:
+            ahead = mark
+        leaf, place, start = self.tree.locate(max(0, at - ahead - 1))
         shift, old_end, old = len(added) - removed, start, 0
         behind = self.tree.from_place(leaf, place)
+        fresh = self._pieces_from(start, mark)
         pieces, end = [], start
         while True:
             while old_end + shift < end or old_end < at + removed:
@@ -150,7 +181,7 @@ class CountedText:
                 old_end, old = old_end + step, old + 1
             if end >= len(self.text) or (old_end >= at + removed and old_end + shift == end):
                 break
-            piece = bpe_trie.PIECE.match(self.text, end).group()
+            piece = next(fresh)
             pieces.append(piece)
             end += len(piece)
         if end >= len(self.text):
@@ -191,7 +222,7 @@ def edit_counts(docs: DataFrame, path: str, edits_col: str = "edits", id_col: st
                 part = batch.slice(first, 256)
                 texts = part.column("text").to_pylist()
                 # the distinct words of all these texts in one walk
-                cut = [bpe_trie.PIECE.findall(t) if kept is None else None
+                cut = [_cut(bpe, t) if kept is None else None
                        for t, kept in zip(texts, part.column("counts").to_pylist())]
                 words = set().union(*(pieces for pieces in cut if pieces))
                 yield _edited(part, texts, cut, words, bpe)
@@ -201,21 +232,16 @@ def edit_counts(docs: DataFrame, path: str, edits_col: str = "edits", id_col: st
 
 def _edited(part: pa.RecordBatch, texts: list[str], cut: list[list[str] | None], words: set[str],
             bpe: bpe_trie.TrieBpe) -> pa.RecordBatch:
-    bpe.learn(words)
+    _learn(bpe, words)
     # all trees first: counting an edit's words may clear what is remembered
     made = []
     for text, pieces, lengths, counts in zip(texts, cut, *(part.column(c).to_pylist() for c in ("lengths", "counts"))):
         tree = None
         if lengths is not None and counts is not None:
-            tree, pieces = CountTree(*(np.frombuffer(x, "<i4").tolist() for x in (lengths, counts))), None
-        if pieces is not None and not _plain(bpe, text):
-            pieces = None
-        made.append((text, pieces, tree))
-    texts_held = [CountedText(t, bpe, tree, pieces) for t, pieces, tree in made if pieces is not None or tree is not None]
-    ready = iter(texts_held)
+            tree = CountTree(*(np.frombuffer(x, "<i4").tolist() for x in (lengths, counts)))
+        made.append(CountedText(text, bpe, tree, pieces))
     rows: list[tuple] = []
-    for (text, pieces, tree), edits in zip(made, part.column("edits").to_pylist()):
-        held = next(ready) if pieces is not None or tree is not None else CountedText(text, bpe)
+    for held, edits in zip(made, part.column("edits").to_pylist()):
         before = held.tree.total
         for edit in edits or []:
             if edit is not None and edit["at"] is not None:

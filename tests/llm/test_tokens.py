@@ -69,6 +69,36 @@ def test_edits_at_random(spark, sf_dir):
     assert recounted < pieces / 4
 
 
+UNUSUAL = {"cyrillic": "Съешь ещё этих мягких французских булок, да выпей чаю. ", "cjk": "我们 今天 去 北京，明天 回来。 かな 12 ",
+           "emoji": "so 😀 it 👍🏽 is\u00a0 fine  ", "mark": "one two <|endoftext|> three's  four "}
+
+
+@pytest.mark.parametrize("name", UNUSUAL)
+def test_edits_of_unusual_texts_recount_little(name):
+    """The tree after any edits is the one of the text cut anew, and only what stands near an edit is counted."""
+    own, rng = bpe_trie.TrieBpe(BYTE), random.Random(5)
+    library = Tokenizer.from_file(BYTE)
+    text = UNUSUAL[name] * 60
+    held = edit_counts.CountedText(text, own)
+    if name != "mark":
+        assert held.tree.pieces == len(library.pre_tokenizer.pre_tokenize_str(text))
+    assert held.tree.pieces > 400
+    for _ in range(150):
+        added = rng.choice(["", " ", "  \n", "'s", "漢字", "ж", "😀", "a b", "<|endo", "ftext|>", ">", "<|endoftext|>", "|", "<"])
+        before = held.recounted
+        held.edit(rng.randint(0, len(held.text)), rng.choice([0, 1, 2, 9]), added)
+        assert held.recounted - before < 40
+        fresh = edit_counts.CountedText(held.text, own).tree
+        for side in ("lengths", "counts"):
+            assert sum(getattr(held.tree, side), []) == sum(getattr(fresh, side), [])
+        assert held.tree.total == len(library.encode(held.text, add_special_tokens=False).ids)
+    # a mark that an edit completes or breaks
+    held = edit_counts.CountedText(text + "<|endoftext|" + text, own)
+    for removed, added in ((0, ">"), (1, "")):
+        held.edit(len(text) + 12, removed, added)
+        assert held.tree.total == len(library.encode(held.text, add_special_tokens=False).ids)
+
+
 def test_edits_of_a_table(odd_docs, no_docs):
     from pyspark.sql import functions as F
     library = Tokenizer.from_file(BYTE)
