@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from penstock.llm import (bpe_trie, chat, edit_counts, language, line_dedup, near_dup, packing, quality, topk, toxicity,
-                          word_ids)
+from penstock.llm import (bpe_trie, chat, edit_counts, filter_audit, language, line_dedup, near_dup, packing, quality,
+                          topk, toxicity, word_ids)
 from penstock.llm.store import table
 
 
@@ -177,6 +177,59 @@ def op10_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op13_filter_potential(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+WITH texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first FROM texts GROUP BY text),
+worded AS (
+  SELECT d.doc_id, d.part, d.text, d.doc_id > f.first AS e,
+    list_filter(string_split_regex(d.text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM texts d JOIN firsts f ON d.text = f.text),
+failing AS (
+  SELECT doc_id, part, CASE WHEN len(words) < 50 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text)
+         THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN e THEN 'E' ELSE '' END AS fails
+  FROM worded),
+counted AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE l.quality = 1) AS good,
+    count(*) FILTER (WHERE l.toxic = 1) AS toxic
+  FROM failing d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x)
+  JOIN letters d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS own, substr(filter_order, 1, step - 1) AS before
+  FROM (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders)),
+met AS (
+  SELECT c.part, s.filter_order, s.step, s.own, c.n, c.good, c.toxic, contains(c.fails, s.own) AS hit,
+    length(translate(c.fails, s.before, '')) < length(c.fails) AS gone, c.fails = s.own AS alone
+  FROM counted c CROSS JOIN steps s),
+stepped AS (
+  SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER (WHERE NOT hit AND NOT gone), 0) AS kept,
+    coalesce(sum(n) FILTER (WHERE hit AND NOT gone), 0) AS removed,
+    coalesce(sum(n) FILTER (WHERE hit AND gone), 0) AS redundant,
+    coalesce(sum(n) FILTER (WHERE alone), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE hit AND NOT gone), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (WHERE hit AND NOT gone), 0) AS toxic_lost
+  FROM met GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+  CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM stepped
+"""
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
@@ -188,12 +241,14 @@ QUERIES = {
     "op8_vector_files": op8_vector_files,
     "op9_near_dup": op9_near_dup,
     "op10_language_filters": op10_language_filters,
+    "op13_filter_potential": op13_filter_potential,
 }
 
 ORACLE = {
     "op1_line_dedup": OP1_SQL,
     "op3_quality_rules": OP3_SQL,
     "op8_vector_files": OP8_SQL,
+    "op13_filter_potential": OP13_SQL,
 }
 
 
