@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from penstock.llm import text_bytes
 from penstock.llm.components import components
+from penstock.llm.shingles import shingle_sets
 from penstock.llm.store import prepared, written
 
 FUNCTIONS = 128
@@ -72,17 +73,6 @@ class Plan:
 
 # ---------------------------------------------------------------- texts to sets
 
-def _sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
-    """The distinct shingle hashes of each text, sorted."""
-    for first, last, data, offsets in text_bytes.slices(column):
-        lower = text_bytes.LOWER[data]
-        starts, ends, texts = text_bytes.words(lower, offsets)
-        hashes, owner = text_bytes.shingle_hashes(text_bytes.range_hashes(lower, starts, ends), texts, words)
-        bounds = np.searchsorted(owner, np.arange(last - first + 1))
-        for i in range(last - first):
-            yield np.unique(hashes[bounds[i]:bounds[i + 1]])
-
-
 def _minima(shingles: np.ndarray) -> np.ndarray:
     least = np.full(FUNCTIONS, 0xFFFFFFFF, dtype=np.uint32)
     short = (shingles >> np.uint64(32)).astype(np.uint32)
@@ -104,7 +94,7 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for shingles in _sets(batch.column("text"), words):
+            for shingles in text_bytes.shingle_sets(batch.column("text"), words):
                 if len(shingles):
                     least = _minima(shingles)
                     names = [int(x.sum().astype(np.int64)) for x in (
@@ -121,30 +111,6 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, SIGNED)
 
 
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, shingles): the whole set of every document."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, sets, held = batch.column("doc_id"), [], 0
-            first = 0
-            for i, shingles in enumerate(_sets(batch.column("text"), words)):
-                sets.append(shingles.view(np.int64))
-                held += len(shingles)
-                if held > 1 << 20:
-                    yield _set_batch(ids.slice(first, i + 1 - first), sets)
-                    first, sets, held = i + 1, [], 0
-            yield _set_batch(ids.slice(first), sets)
-
-    return docs.mapInArrow(run, "doc_id long, shingles array<long>")
-
-
-def _set_batch(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
-    offsets = np.cumsum([0, *map(len, sets)], dtype=np.int32)
-    values = pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64))
-    return pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(offsets), values)],
-                                      names=["doc_id", "shingles"])
-
-
 # ---------------------------------------------------------------- nodes to pairs
 
 def _close_pairs(node: np.ndarray, doc: np.ndarray, size: np.ndarray, group: np.ndarray | None, sketch: np.ndarray,
@@ -400,7 +366,7 @@ def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << _COUNTED, np.int64)
         for batch in batches:
-            for shingles in _sets(batch.column("text"), words):
+            for shingles in text_bytes.shingle_sets(batch.column("text"), words):
                 np.add.at(total, _bucket(shingles), 1)
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["bucket", "n"])
@@ -423,7 +389,8 @@ def rare_shingles(docs: DataFrame, counts: np.ndarray, plan: Plan) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, shingles in zip(batch.column("doc_id").to_pylist(), _sets(batch.column("text"), plan.words)):
+            sets = text_bytes.shingle_sets(batch.column("text"), plan.words)
+            for doc, shingles in zip(batch.column("doc_id").to_pylist(), sets):
                 n = len(shingles)
                 if not n:
                     continue

@@ -105,3 +105,14 @@ def shingle_hashes(codes: np.ndarray, texts: np.ndarray, size: int) -> tuple[np.
     first[1:] = texts[1:] != texts[:-1]
     kept = (held == size) | (first & (held < size))
     return mixed(total[kept] + held[kept].astype(np.uint64)), texts[kept]
+
+
+def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
+    """The distinct shingle hashes of each text, A-Z lower-cased, sorted."""
+    for first, last, data, offsets in slices(column):
+        lower = LOWER[data]
+        starts, ends, texts = words(lower, offsets)
+        hashes, owner = shingle_hashes(range_hashes(lower, starts, ends), texts, size)
+        bounds = np.searchsorted(owner, np.arange(last - first + 1))
+        for i in range(last - first):
+            yield np.unique(hashes[bounds[i]:bounds[i + 1]])

@@ -126,7 +126,7 @@ def test_few_words_alone_in_a_slice(spark, size):
     long = "a long text " * 100_000
     assert len(long) > text_bytes.SLICE_BYTES
     texts = [long, "two words", long + "more"]
-    assert list(map(len, near_dup._sets(pa.array(texts), size))) == [len(sets_by_hand(t, size)) for t in texts]
+    assert list(map(len, text_bytes.shingle_sets(pa.array(texts), size))) == [len(sets_by_hand(t, size)) for t in texts]
     for count in range(1, 7):
         rows = [(1, " ".join(f"w{i}" for i in range(count)))]
         frame = spark.createDataFrame(rows, "doc_id long, text string")
