@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from penstock.llm import (bpe_trie, chat, edit_counts, filter_audit, language, line_dedup, near_dup, ngram_join, packing,
-                          quality, topk, toxicity, word_ids)
+                          quality, structure, topk, toxicity, word_ids)
 from penstock.llm.store import table
 
 
@@ -177,6 +177,10 @@ def op10_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_structure_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure.repaired(structure.damaged(table(spark, sf_dir, "conversations")))
+
+
 def op12_ngram_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
 
@@ -245,6 +249,7 @@ QUERIES = {
     "op8_vector_files": op8_vector_files,
     "op9_near_dup": op9_near_dup,
     "op10_language_filters": op10_language_filters,
+    "op11_structure_audit": op11_structure_audit,
     "op12_ngram_tries": op12_ngram_tries,
     "op13_filter_potential": op13_filter_potential,
 }
