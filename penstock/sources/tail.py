@@ -2,19 +2,27 @@
 
 Options: ``path`` (folder, any file system Arrow reads), ``pattern`` (regular
 expression the whole file path must match), ``chunkBytes`` (bytes one task
-reads) and ``maxBytesPerFile`` (stream only: bytes taken from one file per
-batch; the rest follows in later batches).
+reads); for streams ``maxBytesPerTrigger`` (bytes of a batch, shared fairly by all
+files that have new ones) and ``maxBytesPerFile`` (bytes taken from one file per
+batch); the rest follows in later batches.
 
 A byte range owns the lines whose end mark lies in it. So a position is just a
-file size, the driver lists files but reads none, a file of any size splits
-into equal tasks, and the unfinished last line waits for its end mark.
+number of bytes, the driver plans without reading the files, a file of any size
+splits into equal tasks, and the unfinished last line waits for its end mark.
+
+A file is known by a digest of its first bytes and of those before the position,
+not by its name: a file that was replaced is read from its start, however long
+the new one is, and one that was renamed goes on where it was. The driver reads these
+few bytes of files with new ones only. Files that are gone leave the position.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -32,6 +40,8 @@ ARROW_SCHEMA = pa.schema([("value", pa.string()), ("file", pa.string()), ("posit
 DEFAULT_PATTERN = r".*/.*\.log"
 DEFAULT_CHUNK_BYTES = 64 * 1024 * 1024
 BLOCK_BYTES = 4 * 1024 * 1024
+#: Bytes at either end of what was read that tell a file from another; files looked at together.
+PRINT_BYTES, PRINTS_AT_ONCE = 256, 16
 
 
 @dataclass
@@ -102,7 +112,7 @@ def read_range(path: str, part: FileRange) -> Iterator[pa.RecordBatch]:
             handle.seek(at)
             block = handle.read(min(BLOCK_BYTES, part.end - at))
             if not block:
-                return
+                raise EOFError(f"{part.file} ends at byte {at}, before byte {part.end} where it was listed to reach")
             last = block.rfind(b"\n")
             if last < 0:
                 if begin is not None:
@@ -118,13 +128,44 @@ def read_range(path: str, part: FileRange) -> Iterator[pa.RecordBatch]:
             at += len(block)
 
 
+def file_prints(path: str, positions: Mapping[str, int]) -> dict[str, str]:
+    """For each file a digest of its first bytes and of the last ones before a position; empty if it is shorter."""
+    system, _ = _file_system(path)
+
+    def of(item: tuple[str, int]) -> str:
+        file, position = item
+        try:
+            with system.open_input_file(file) as handle:
+                head = handle.read(min(PRINT_BYTES, position))
+                handle.seek(max(0, position - PRINT_BYTES))
+                last = handle.read(min(PRINT_BYTES, position))
+        except FileNotFoundError:
+            return ""
+        if len(last) < min(PRINT_BYTES, position):
+            return ""
+        return hashlib.sha256(head + last).hexdigest()[:16]
+
+    with ThreadPoolExecutor(PRINTS_AT_ONCE) as pool:
+        return dict(zip(positions, pool.map(of, positions.items())))
+
+
+def fair_shares(pending: Mapping[str, int], budget: int) -> dict[str, int]:
+    """Bytes admitted of each file: equal shares, what small files leave over goes to the others, at least one byte."""
+    shares, open_ = {}, sorted(pending.items(), key=lambda item: item[1])
+    for i, (file, size) in enumerate(open_):
+        shares[file] = min(size, max(1, budget // (len(open_) - i)))
+        budget = max(0, budget - shares[file])
+    return shares
+
+
 class _TailOptions:
     def __init__(self, options):
         self.path = options["path"]
         self.pattern = options.get("pattern", DEFAULT_PATTERN)
         self.chunk = int(options.get("chunkBytes", DEFAULT_CHUNK_BYTES))
-        limit = options.get("maxBytesPerFile")
+        limit, budget = options.get("maxBytesPerFile"), options.get("maxBytesPerTrigger")
         self.limit = int(limit) if limit else None
+        self.budget = int(budget) if budget else None
 
 
 class TailReader(DataSourceReader):
@@ -140,36 +181,68 @@ class TailReader(DataSourceReader):
 
 
 class TailStreamReader(DataSourceStreamReader):
-    """Position = ``{file: bytes taken}``. A file smaller than its position was replaced and restarts at 0."""
+    """Position = ``{file: {from, to, print, goal}}``: the bytes of the last batch, the digest of what was taken, and
+    how far the file reached when the position was last level with all files.
+
+    A position is level when every file's ``to`` is its ``goal``. Until then later batches go on to the same
+    goals, so a run that takes what is there ends, although files keep growing.
+    """
 
     def __init__(self, options: _TailOptions):
         self.options = options
-        self.known: dict[str, int] = {}
+        self.known: dict[str, dict] = {}
 
     def initialOffset(self) -> dict:
         return {}
 
+    def _recognised(self, sizes: dict[str, int]) -> dict[str, dict]:
+        """What is known of each listed file that has new bytes or a new name; a file not known starts at 0."""
+        known = self.known
+        changed = [f for f, size in sizes.items() if f not in known or size != known[f]["to"]]
+        asked = {f: known[f]["to"] for f in changed if f in known and sizes[f] >= known[f]["to"] > 0}
+        found = file_prints(self.options.path, asked)
+        out = {f: known[f] for f in asked if found[f] == known[f]["print"]}
+        # a file without a history may be one that has left its old name, perhaps to another file
+        left = {f: e for f, e in known.items() if e["to"] and f not in out and (f not in sizes or f in changed)}
+        strange = [f for f in changed if f not in out and sizes[f]]
+        for entry in left.values():
+            prints = file_prints(self.options.path, {f: entry["to"] for f in strange if sizes[f] >= entry["to"]})
+            for file, found_print in prints.items():
+                if found_print == entry["print"]:
+                    out[file] = entry
+                    strange.remove(file)
+                    break
+        new = {"from": 0, "to": 0, "print": "", "goal": 0}
+        return {f: out.get(f, new) if f in changed else known[f] for f in sizes}
+
     def latestOffset(self) -> dict:
-        position = {}
-        for file, size in list_sizes(self.options.path, self.options.pattern).items():
-            start = self.known.get(file, 0)
-            if size < start:
-                start = 0
-            limit = self.options.limit
-            position[file] = size if limit is None else min(size, start + limit)
-        self.known = position
-        return position
+        sizes = list_sizes(self.options.path, self.options.pattern)
+        entries = self._recognised(sizes)
+        goals = {f: min(sizes[f], e["goal"]) for f, e in entries.items()}
+        if all(goals[f] <= e["to"] for f, e in entries.items()):
+            goals = sizes
+        pending = {f: goals[f] - e["to"] for f, e in entries.items() if goals[f] > e["to"]}
+        if not pending:
+            return self.known
+        if self.options.limit is not None:
+            shares = {f: min(size, self.options.limit) for f, size in pending.items()}
+        else:
+            shares = dict(pending)
+        if self.options.budget is not None:
+            shares = fair_shares(shares, self.options.budget)
+        ends = {f: e["to"] + shares.get(f, 0) for f, e in entries.items()}
+        prints = file_prints(self.options.path, {f: ends[f] for f in shares})
+        self.known = {f: {"from": e["to"], "to": ends[f], "print": prints.get(f, e["print"]),
+                          "goal": max(goals[f], ends[f])} for f, e in entries.items() if ends[f]}
+        return self.known
 
     def partitions(self, start: dict, end: dict) -> list[FileRange]:
         # After a restart this call names the checkpointed position before the next end is chosen.
         self.known = dict(end)
-        parts = []
-        for file, stop in sorted(end.items()):
-            begin = start.get(file, 0)
-            if stop < begin:
-                begin = 0
-            parts += split_range(file, begin, stop, self.options.chunk)
-        return parts
+        if start == end:
+            return []
+        return [p for file, e in sorted(end.items())
+                for p in split_range(file, e["from"], e["to"], self.options.chunk)]
 
     def read(self, partition: FileRange):
         return read_range(self.options.path, partition)
@@ -178,6 +251,11 @@ class TailStreamReader(DataSourceStreamReader):
         pass
 
 
+def is_level(offset: Mapping[str, Mapping]) -> bool:
+    """Whether a position has reached all that the files held when its goals were set."""
+    return all(e["to"] >= e["goal"] for e in offset.values())
+
+
 class LogTail(DataSource):
     @classmethod
     def name(cls) -> str:

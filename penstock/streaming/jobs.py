@@ -7,6 +7,7 @@ checkpoint, so a restart goes on where the last finished batch ended.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Mapping
 
@@ -17,7 +18,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from penstock import session
 from penstock.functions import device, logs
 from penstock.operators import counters, lake
-from penstock.sources import folders, kafka
+from penstock.sources import folders, kafka, tail
 from penstock.streaming.lake_table import LakeTable
 
 # Commit interval and roll limits.
@@ -31,13 +32,28 @@ def _started(writer: DataStreamWriter, checkpoint: str, interval: str | None, on
     writer = writer.option("checkpointLocation", checkpoint)
     if not once:
         return writer.trigger(processingTime=interval).start()
+    old_goals = None
     while True:
         query = writer.trigger(availableNow=True).start()
         query.awaitTermination()
-        # A source that doesn't know this trigger takes one batch, which its cap may have cut: ask it again.
-        last = query.lastProgress
-        if not (last and last["numInputRows"] and any("Python" in s["description"] for s in last["sources"])):
+        # A source that doesn't know this trigger takes one batch, which its cap may have cut: ask it again, and once
+        # more where the goals that it has reached now were set by an earlier run.
+        begun, ended = _levels(query)
+        old_goals = not begun if old_goals is None else old_goals
+        if ended and not old_goals:
             return query
+        old_goals = old_goals and not ended
+
+
+def _levels(query: StreamingQuery) -> tuple[bool, bool]:
+    """Whether capped sources were level with their goals (see ``tail``) before and after the query's last batch."""
+    def level(offset: object) -> bool:
+        known = isinstance(offset, dict) and all(isinstance(e, dict) and "goal" in e for e in offset.values())
+        return not known or tail.is_level(offset)
+
+    last = query.lastProgress
+    sources = json.loads(last.json)["sources"] if last else []
+    return all(level(s["startOffset"]) for s in sources), all(level(s["endOffset"]) for s in sources)
 
 
 def printed(lines: DataFrame, column: str = "report", prefix: str = device.PRINT_PREFIX) -> DataFrame:

@@ -2,6 +2,8 @@
 
 import pathlib
 
+import pytest
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -108,3 +110,69 @@ def test_running_query_follows_a_growing_file(spark, folder):
         query.stop()
     rows = spark.read.schema(tail.SCHEMA).parquet(f"{folder}/out").collect()
     assert sorted(r["value"] for r in rows) == ["1", "2", "3", "4", "5"]
+
+
+def once(spark, folder, **options):
+    lines = tail.read_stream(spark, f"{folder}/in", **options)
+    query = jobs.write_lines(lines, f"{folder}/out", f"{folder}/checkpoint", once=True)
+    rows = spark.read.schema(tail.SCHEMA).parquet(f"{folder}/out").collect()
+    return query, sorted((r["file"].rsplit("/", 1)[1], r["position"], r["value"]) for r in rows)
+
+
+@pytest.mark.parametrize("cap", ["maxBytesPerFile", "maxBytesPerTrigger"])
+def test_a_line_longer_than_the_cap_hides_nothing(spark, folder, cap):
+    lines = ["x" * 200, *(f"line {i}" for i in range(21))]
+    write(folder, "in/a.log", ("\n".join(lines) + "\n").encode())
+    _, found = once(spark, folder, **{cap: 50})
+    assert [v for _, _, v in found] == lines
+    write(folder, "in/a.log", b"more\n", "ab")
+    _, found = once(spark, folder, **{cap: 2})
+    assert [v for _, _, v in found] == [*lines, "more"]
+
+
+def test_no_file_starves_another(spark, folder):
+    write(folder, "in/big.log", b"".join(b"big %03d\n" % i for i in range(200)))
+    for i in range(3):
+        write(folder, f"in/small{i}.log", b"one\ntwo\n")
+    reader = tail.TailStreamReader(tail._TailOptions({"path": f"{folder}/in", "maxBytesPerTrigger": "100"}))
+    first = reader.latestOffset()
+    taken = {f.rsplit("/", 1)[1]: e["to"] - e["from"] for f, e in first.items()}
+    assert taken == {"small0.log": 8, "small1.log": 8, "small2.log": 8, "big.log": 76}
+    query, found = once(spark, folder, maxBytesPerTrigger=400)
+    assert len(found) == 206
+
+
+def test_shares_are_fair_and_use_the_budget():
+    assert tail.fair_shares({"a": 5, "b": 100, "c": 100}, 65) == {"a": 5, "b": 30, "c": 30}
+    assert tail.fair_shares({"a": 5, "b": 7}, 100) == {"a": 5, "b": 7}
+    assert tail.fair_shares({"a": 5, "b": 7, "c": 9}, 1) == {"a": 1, "b": 1, "c": 1}
+
+
+def test_a_longer_replacement_is_read_from_its_start(spark, folder):
+    write(folder, "in/a.log", b"one\ntwo\n")
+    once(spark, folder)
+    write(folder, "in/a.log", b"fresh one\nfresh two\nfresh three\n")
+    _, found = once(spark, folder)
+    assert found == [("a.log", 0, "fresh one"), ("a.log", 0, "one"), ("a.log", 4, "two"), ("a.log", 10, "fresh two"),
+                     ("a.log", 20, "fresh three")]
+
+
+def test_a_renamed_file_goes_on_and_gone_files_are_forgotten(spark, folder):
+    write(folder, "in/a.log", b"one\ntwo\n")
+    write(folder, "in/b.log", b"other\n")
+    once(spark, folder)
+    pathlib.Path(folder, "in/a.log").rename(pathlib.Path(folder, "in/a1.log"))
+    pathlib.Path(folder, "in/b.log").unlink()
+    write(folder, "in/a1.log", b"three\n", "ab")
+    write(folder, "in/a.log", b"new\n")
+    query, found = once(spark, folder)
+    assert found == [("a.log", 0, "new"), ("a.log", 0, "one"), ("a.log", 4, "two"), ("a1.log", 8, "three"),
+                     ("b.log", 0, "other")]
+    offset = query.lastProgress["sources"][0]["endOffset"]
+    assert "b.log" not in str(offset) and "a1.log" in str(offset)
+
+
+def test_a_file_shorter_than_listed_is_an_error(tmp_path):
+    path = write(tmp_path, "x.log", b"one\n")
+    with pytest.raises(EOFError):
+        list(tail.read_range(path, tail.FileRange(path, 0, 10)))
