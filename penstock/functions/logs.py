@@ -26,6 +26,7 @@ LOG_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in LOG_F
 BAD_TIME = "unreadable time_stamp"
 NO_APP = "missing app_name"
 BAD_JSON = "invalid json"
+UNREADABLE = "unreadable"
 
 
 def _col(c: Column | str) -> Column:
@@ -70,20 +71,22 @@ def reject_reason() -> Column:
     return F.when(F.col("app_name").isNull(), F.lit(NO_APP)).otherwise(F.lit(BAD_TIME))
 
 
+def is_usable(normalized: DataFrame) -> Column:
+    """The row has a record key, and its message was JSON where a column ``unreadable`` tells (``kafka.json_table``)."""
+    return has_key() & F.col(UNREADABLE).isNull() if UNREADABLE in normalized.columns else has_key()
+
+
 def log_rows(normalized: DataFrame) -> DataFrame:
     """Rows fit for the keyed table."""
-    return normalized.where(has_key())
+    return normalized.where(is_usable(normalized))
 
 
 def log_rejects(normalized: DataFrame) -> DataFrame:
-    """The complement of :func:`log_rows`, with a reason.
-
-    A column ``unreadable`` (see ``kafka.json_table``) tells that the message was no JSON.
-    """
+    """The complement of :func:`log_rows`, with a reason."""
     reason = reject_reason()
-    if "unreadable" in normalized.columns:
-        reason = F.when(F.col("unreadable").isNotNull(), F.lit(BAD_JSON)).otherwise(reason)
-    return normalized.where(~has_key()).withColumn("reason", reason)
+    if UNREADABLE in normalized.columns:
+        reason = F.when(F.col(UNREADABLE).isNotNull(), F.lit(BAD_JSON)).otherwise(reason)
+    return normalized.where(~is_usable(normalized)).withColumn("reason", reason)
 
 
 def log_file_name(path: Column | str) -> Column:

@@ -76,6 +76,27 @@ def app_log_messages(events: DataFrame) -> DataFrame:
                        F.col("seq").alias("offset"), F.col("arrival_ts").alias("timestamp"))
 
 
+def faulty_log_messages(events: DataFrame) -> DataFrame:
+    """Queue records of the logs, some of them no JSON or without an application, spread over four partitions."""
+    rows = app_logs(events).withColumn("app_name", F.when(F.col("seq") % 43 != 0, F.col("app_name")))
+    value = F.to_json(F.struct(*logs.LOG_FIELDS), {"ignoreNullFields": "false"})
+    cut = F.when(F.col("seq") % 41 == 0, F.substring(value, F.lit(1), F.length(value) - 1)).otherwise(value)
+    return rows.select(cut.alias("value"), F.lit("logs").alias("topic"),
+                       (F.col("seq") % 4).cast("int").alias("partition"), F.col("seq").alias("offset"),
+                       F.col("arrival_ts").alias("timestamp"))
+
+
+def repeated_records(events: DataFrame) -> DataFrame:
+    """Records with the id they were sent with, in three sendings: each record in one, every seventh also in the next,
+    every eleventh twice in its own."""
+    n = F.col("event_id")
+    first = n % 3
+    sendings = F.concat(F.array(first), F.when(n % 7 == 0, F.array(first + 1)).otherwise(F.array().cast("array<long>")),
+                        F.when(n % 11 == 0, F.array(first)).otherwise(F.array().cast("array<long>")))
+    return events.select(F.concat_ws("-", F.lit("dev-events"), n % 4, n).alias("record_id"),
+                         F.col("props").alias("value"), F.explode(sendings).alias("sending"))
+
+
 def maintenance_config(part: DataFrame) -> DataFrame:
     """One maintenance configuration row per part: the 19 columns read, the activity flag, and status columns."""
     k, size = F.col("p_partkey"), F.col("p_size")

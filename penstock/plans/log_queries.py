@@ -160,6 +160,19 @@ LAKE_UPSERT_SQL = with_parts(f"""
 SELECT {_LAKE} FROM (
   SELECT *, row_number() OVER (PARTITION BY app_name, unix_time_stamp ORDER BY seq DESC) AS rn FROM normal WHERE good)
 WHERE rn = 1""", LOGS)
+MESSAGE_LAKE_SQL = with_parts(f"""
+SELECT {_LAKE} FROM (
+  SELECT *, row_number() OVER (PARTITION BY app_name, unix_time_stamp ORDER BY arrival_ts DESC, seq % 4 DESC, seq DESC)
+    AS rn
+  FROM normal WHERE good AND seq % 41 <> 0 AND seq % 43 <> 0)
+WHERE rn = 1""", LOGS)
+MESSAGE_REJECTS_SQL = with_parts("""
+SELECT CAST(seq % 4 AS INTEGER) AS "partition", seq AS "offset",
+  CASE WHEN seq % 41 <> 0 AND seq % 43 <> 0 THEN app_name END AS app_name,
+  CASE WHEN seq % 41 <> 0 THEN time_stamp END AS time_stamp, seq % 41 = 0 AS has_text,
+  CASE WHEN seq % 41 = 0 THEN 'invalid json' WHEN seq % 43 = 0 THEN 'missing app_name'
+    ELSE 'unreadable time_stamp' END AS reason
+FROM normal WHERE seq % 41 = 0 OR seq % 43 = 0 OR NOT good""", LOGS)
 SOURCE_LINES_SQL = with_parts(
     "SELECT source, value, count(*) AS times FROM lines GROUP BY source, value", LINES)
 ARCHIVE_SQL = with_parts("""

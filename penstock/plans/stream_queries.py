@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from penstock.functions import device, logs
 from penstock.plans import device_queries, fixtures, log_queries
-from penstock.session import fresh_folder
-from penstock.sources import tail
+from penstock.session import conf, fresh_folder
+from penstock.sources import kafka, tail
 from penstock.streaming import jobs
 
 PLACE = device_queries.PLACE
@@ -54,6 +54,42 @@ def stream_log_rejects(spark, sf_dir):
     return jobs.read_rejects(spark, f"{folder}/rejects").select("seq", "app_name", "time_stamp", "reason")
 
 
+def _messages_upserted(spark, sf_dir):
+    folder = fresh_folder(spark, "stream-messages")
+    table = jobs.message_table(spark, f"{folder}/table")
+    records = fixtures.faulty_log_messages(_table_stream(spark, sf_dir, "events"))
+    jobs.upsert_messages(records, table, f"{folder}/rejects", f"{folder}/checkpoint", once=True).awaitTermination()
+    return table, folder
+
+
+def stream_log_messages(spark, sf_dir):
+    """Queue messages, some unreadable, into the keyed table in one job: its merged view."""
+    table, _ = _messages_upserted(spark, sf_dir)
+    return table.snapshot().select(*logs.LAKE_COLUMNS)
+
+
+def stream_message_rejects(spark, sf_dir):
+    """The messages that the same job set aside, with their place and the reason."""
+    _, folder = _messages_upserted(spark, sf_dir)
+    return jobs.read_message_rejects(spark, f"{folder}/rejects").select(
+        "arrival.partition", "arrival.offset", "app_name", "time_stamp",
+        F.col(logs.UNREADABLE).isNotNull().alias("has_text"), "reason")
+
+
+def stream_first_records(spark, sf_dir):
+    """Records that were sent more than once, some in later batches, read once each."""
+    folder = fresh_folder(spark, "stream-repeats")
+    sent = fixtures.repeated_records(fixtures.table(spark, sf_dir, "events"))
+    sent.write.partitionBy("sending").parquet(f"{folder}/in")
+    records = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    with conf(spark, kafka.STATE_STORE):
+        once = kafka.first_of_each(kafka.with_sent_place(records.drop("sending")), "sent_topic", "sent_partition",
+                                   "sent_offset")
+        jobs.write_lines(once, f"{folder}/out", f"{folder}/checkpoint", once=True).awaitTermination()
+    return spark.read.schema(once.schema).parquet(f"{folder}/out").select(
+        F.col("sent_partition").alias("partition"), F.col("sent_offset").alias("offset"), "value")
+
+
 def stream_daily_archive(spark, sf_dir):
     folder = fresh_folder(spark, "stream-archive")
     rows = fixtures.app_logs(_table_stream(spark, sf_dir, "events"))
@@ -75,7 +111,8 @@ def stream_tail_files(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in [
-    stream_device_report, stream_log_lake, stream_log_lake_compacted, stream_log_rejects, stream_daily_archive,
+    stream_device_report, stream_log_lake, stream_log_lake_compacted, stream_log_rejects, stream_log_messages,
+    stream_message_rejects, stream_first_records, stream_daily_archive,
     stream_tail_files,
 ]}
 
@@ -84,6 +121,10 @@ ORACLE = {
     "stream_log_lake": log_queries.LAKE_UPSERT_SQL,
     "stream_log_lake_compacted": log_queries.LAKE_UPSERT_SQL,
     "stream_log_rejects": log_queries.ORACLE["log_rejects"],
+    "stream_log_messages": log_queries.MESSAGE_LAKE_SQL,
+    "stream_message_rejects": log_queries.MESSAGE_REJECTS_SQL,
+    "stream_first_records": """
+SELECT CAST(event_id % 4 AS INTEGER) AS "partition", event_id AS "offset", props AS value FROM events""",
     "stream_daily_archive": log_queries.ARCHIVE_SQL,
     "stream_tail_files": log_queries.SOURCE_LINES_SQL,
 }

@@ -6,14 +6,17 @@ Everything past the scan takes any frame with that connector's columns.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from penstock.functions.device import once
 from penstock.functions.logs import fits_message
+from penstock.sources import seen_offsets
 
 # Client settings Spark sets itself or refuses.
 MANAGED_KEYS = [
@@ -152,6 +155,36 @@ def drop_repeats(records: DataFrame) -> DataFrame:
     return records.dropDuplicates([RECORD_ID])
 
 
+def with_sent_place(records: DataFrame) -> DataFrame:
+    """Where a record was read before it was sent, from its id: ``sent_topic``, ``sent_partition``, ``sent_offset``."""
+    def part(number: int) -> Column:
+        return F.regexp_extract(RECORD_ID, r"\A(.*)-(\d+)-(\d+)\z", number)
+
+    return records.withColumns({"sent_topic": part(1), "sent_partition": F.nullif(part(2), F.lit("")).cast("int"),
+                                "sent_offset": F.nullif(part(3), F.lit("")).cast("long")})
+
+
+def first_of_each(records: DataFrame, topic: str = "topic", partition: str = "partition",
+                  offset: str = "offset") -> DataFrame:
+    """A stream of records without those that came before, in any batch of this query, restarts included.
+
+    For readers of a sink that writes at least once: name the columns of the sent place (:func:`with_sent_place`). State is
+    kept per topic and partition and holds the gaps between offsets only, so it needs no watermark and does not
+    grow with the stream. Rows with a null in one of the three have no place and pass. The query needs the state
+    store named by :data:`STATE_STORE`.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[seen_offsets.__name__])  # workers need no copy of this package
+    placed = F.col(topic).isNotNull() & F.col(partition).isNotNull() & F.col(offset).isNotNull()
+    once = records.where(placed).groupBy(topic, partition).transformWithStateInPandas(
+        seen_offsets.SeenOffsets(offset), records.schema, outputMode="Append", timeMode="None")
+    return once.union(records.where(~placed))
+
+
+#: Session settings of queries with this kind of state.
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass":
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
 def within_size(messages: DataFrame, limit: int, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """Messages a queue accepts, and the oversized rest."""
     ok = F.coalesce(fits_message(value, limit), F.lit(True))  # a null value has no size

@@ -13,6 +13,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from penstock import session
@@ -105,24 +106,55 @@ def split_send(rows: DataFrame, limit: int, oversized: str, sink: Callable[[Data
     sink(fitting)
 
 
-def lake_table(spark: SparkSession, path: str) -> LakeTable:
+#: Where a message stands among all of a topic: by time, then by its place, so that no two tie.
+ARRIVAL = "arrival"
+ARRIVAL_TYPE = T.StructType([T.StructField("timestamp", T.TimestampType()), T.StructField("partition", T.IntegerType()),
+                             T.StructField("offset", T.LongType())])
+
+
+def lake_table(spark: SparkSession, path: str, arrival: str = "seq",
+               arrival_type: T.DataType = T.LongType()) -> LakeTable:
     """The keyed log table: one row per application and second, partitioned by day."""
     types = {"unix_time_stamp": "long"}
     columns = ", ".join(f"{c} {types.get(c, 'string')}" for c in logs.LAKE_COLUMNS)
     schema = spark.createDataFrame([], columns).schema
-    return LakeTable(spark, path, schema, ["app_name", "unix_time_stamp", "load_dt"], "unix_time_stamp", "load_dt")
+    return LakeTable(spark, path, schema, ["app_name", "unix_time_stamp", "load_dt"], "unix_time_stamp", "load_dt",
+                     arrival, arrival_type=arrival_type)
+
+
+def message_table(spark: SparkSession, path: str) -> LakeTable:
+    """The same, its rows ordered by the place of their messages in the queue."""
+    return lake_table(spark, path, ARRIVAL, ARRIVAL_TYPE)
+
+
+def upsert_messages(records: DataFrame, table: LakeTable, rejects: str, checkpoint: str, **options) -> StreamingQuery:
+    """Queue records whose values are JSON logs into the keyed table of :func:`message_table`, in one job.
+
+    A message is parsed once and ends in exactly one place: the table, where a later message of its key takes
+    its place, or ``rejects``, with its text if it is no JSON, its columns if its key is incomplete, and the reason.
+    ``options`` are those of :func:`upsert_logs`.
+    """
+    arrival = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ARRIVAL_TYPE]).alias(ARRIVAL)
+    raw = kafka.json_table(records, logs.LOG_SCHEMA, arrival, unreadable=logs.UNREADABLE)
+    return upsert_logs(raw, table, rejects, checkpoint, **options)
+
+
+def read_message_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The messages that :func:`upsert_messages` set aside so far."""
+    return _read_rejects(spark, path, f"{ARRIVAL} {ARRIVAL_TYPE.simpleString()}, {logs.UNREADABLE} string")
 
 
 def upsert_logs(raw: DataFrame, table: LakeTable, rejects: str, checkpoint: str, precision: str = "seconds",
                 compact_every: int | None = None, interval: str = COMMIT_INTERVAL,
                 once: bool = False) -> StreamingQuery:
-    """Raw log rows (seven columns and ``seq``) into the keyed table, rows without a key into ``rejects``."""
+    """Raw log rows (seven columns and the table's order of arrival) into the keyed table, others into ``rejects``."""
 
     def batch(rows: DataFrame, batch_id: int) -> None:
         # The query's id is kept in its checkpoint: with a new checkpoint, batches count as another writer's.
         writer = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        normal = logs.normalize_logs(rows, "seq", precision=precision)
-        counted, seen = counters.observed(normal, f"upsert-{batch_id}", logs.has_key())
+        kept = [table.arrival, *[c for c in [logs.UNREADABLE] if c in rows.columns]]
+        normal = logs.normalize_logs(rows, *kept, precision=precision)
+        counted, seen = counters.observed(normal, f"upsert-{batch_id}", logs.is_usable(normal))
         written = table.upsert(logs.log_rows(counted), batch_id, writer)
         # The source is read a second time only if some row was set aside, or on a repeat that cannot tell.
         if not written or seen.get["ok_rows"] < seen.get["rows"]:
@@ -135,8 +167,12 @@ def upsert_logs(raw: DataFrame, table: LakeTable, rejects: str, checkpoint: str,
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """The log rows set aside so far, with the reason."""
+    return _read_rejects(spark, path, "seq long")
+
+
+def _read_rejects(spark: SparkSession, path: str, kept: str) -> DataFrame:
     fields = {"unix_time_stamp": "long"}
-    schema = ", ".join(f"{c} {fields.get(c, 'string')}" for c in logs.LAKE_COLUMNS) + ", seq long, reason string"
+    schema = ", ".join(f"{c} {fields.get(c, 'string')}" for c in logs.LAKE_COLUMNS) + f", {kept}, reason string"
     found = [f"{path}/{w}/{b}" for w in folders.child_folders(spark, path, "writer=")
              for b in folders.child_folders(spark, f"{path}/{w}", "batch=")]
     paths = [p for p in found if folders.is_done(spark, p)]

@@ -45,13 +45,14 @@ class State:
 
 class LakeTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
-                 precombine: str, partition: str, arrival: str = "seq", is_delete: str | None = None):
+                 precombine: str, partition: str, arrival: str = "seq", is_delete: str | None = None,
+                 arrival_type: T.DataType = T.LongType()):
         if precombine not in keys:
             raise ValueError("the ordering column must be part of the key")
         self.spark, self.path = spark, path.rstrip("/")
         self.schema, self.keys, self.partition = schema, list(keys), partition
         self.arrival, self.is_delete = arrival, is_delete
-        extra = [T.StructField(arrival, T.LongType())]
+        extra = [T.StructField(arrival, arrival_type)]
         if is_delete:
             extra.append(T.StructField(is_delete, T.BooleanType()))
         self.log_schema = T.StructType([*schema.fields, *extra])
