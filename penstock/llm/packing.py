@@ -1,7 +1,7 @@
 """Packing of token ids into sequences of bounded length, by multiway differencing.
 
-A document's ids are cut into whole sequences and a rest; the rests, cut to
-pieces of bounded length, are dealt over as few windows as their sum allows.
+A document's ids are cut into whole sequences and a rest; the rests, of which
+some give small end pieces, are dealt over as few windows as their sum allows.
 The dealing is Karmarkar and Karp's: every piece starts as a partition with one
 filled window, and the two partitions with the largest imbalance are merged,
 the fullest window of one with the emptiest of the other, until one partition
@@ -26,8 +26,8 @@ from penstock.llm.store import prepared
 
 #: Windows dealt at a time.
 GROUP_WINDOWS = 64
-#: A rest gives small end pieces of these shares, which even the windows out, and pieces of at most half a window.
-END_SHARES = (64, 16)
+#: Every second rest gives small end pieces of these shares, which even the windows out; the others stay whole.
+END_SHARES, ENDS_OF = (64, 16), 2
 #: Ids per window that a group leaves free, so that near-equal windows stay below the capacity.
 SLACK = 3
 
@@ -66,17 +66,14 @@ def dealt(sizes: list[int], capacity: int) -> list[list[int]]:
         windows += 1
 
 
-def cut(doc_tokens: int, capacity: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """(start, length) of the whole sequences, and of the pieces of the rest."""
+def cut(doc_tokens: int, capacity: int, ends: bool = True) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """(start, length) of the whole sequences, and of the pieces of the rest: one, or with small ``ends`` three."""
     whole = [(at, capacity) for at in range(0, doc_tokens - capacity + 1, capacity)]
     start = len(whole) * capacity
     rest = doc_tokens - start
-    ends = [rest // share for share in END_SHARES if rest // share >= 4]
-    body = rest - sum(ends)
-    parts = -(-2 * body // capacity)
-    sizes = [body * (i + 1) // parts - body * i // parts for i in range(parts)] + ends
+    sizes = [rest // share for share in END_SHARES if rest // share >= 4] if ends else []
     edges = [start]
-    for size in sizes:
+    for size in (rest - sum(sizes), *sizes):
         edges.append(edges[-1] + size)
     return whole, [(a, b - a) for a, b in zip(edges, edges[1:]) if b > a]
 
@@ -117,17 +114,18 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[bytes
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder()
         group: list[tuple] = []
-        held, number = 0, None
+        held, number, rests = 0, None, 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
                 if number is None:
                     number = part.column("task")[0].as_py() << 36
                 out: list[tuple] = []
                 for doc, ids in zip(part.column("doc_id").to_pylist(), encode(part.column("text").to_pylist())):
                     ids += last
                     tokens = len(ids) // 4
-                    whole, rest = cut(tokens, capacity)
+                    whole, rest = cut(tokens, capacity, rests % ENDS_OF == 0)
+                    rests += bool(rest)
                     for start, length in whole:
                         out.append((doc, start, length, ids[4 * start:4 * (start + length)], tokens, number, 0))
                         number += 1

@@ -1,28 +1,70 @@
 """Token ids of a word-end BPE vocabulary, for whole texts at the speed of word look-ups.
 
 Words between white space do not act on each other in this kind of vocabulary,
-so a text's ids are its words' ids in a row. New words of a batch are merged
-together in numpy, one merge of every word per step; known ones come from a
-table of bounded size. A text with a character outside the ranges below, or
-with the mark of a special token, is left whole to the tokenizers library.
+so a text's ids are the ids of its pre-tokens in a row. These are found in numpy
+for a slice of texts at once and hashed; only distinct ones are looked up in a
+table of bounded size, and their ids are taken by number for the whole slice.
+New ones are merged together, one merge of every one per step. A text with a
+character outside the ranges below, or with the mark of a special token, is
+left whole to the tokenizers library.
 """
 
 from __future__ import annotations
 
 import json
 import re
-import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
-#: Words remembered by a task; beyond it the table starts anew.
+from penstock.llm import text_bytes
+
+#: Characters worked on at once; longer texts are cut at white space.
+SLICE = 1 << 20
+#: Pre-tokens remembered by a task; beyond it the table starts anew.
 REMEMBERED = 1_000_000
 #: Letters, digits, signs and white space on which this module and the library agree; tests compare all of them.
 _OTHER = re.compile("[^\\x00-\\x1b\\x20-\\x7e¡-¬®-±´-¸º»¿-įĲ-ň"
                     "Ŋ-ž‐-‧]|<\\|")
 _ODD_ASCII = "\x1c\x1d\x1e\x1f\x7f"
-_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+#: Endings that are one pre-token with the apostrophe before them: fixed values of this kind of vocabulary.
+_ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
+
+_SPACE, _LETTER, _DIGIT, _SIGN = range(4)
+
+
+def _kind(character: str) -> int:
+    if character.isspace():
+        return _SPACE
+    if character.isdigit():
+        return _DIGIT
+    return _LETTER if re.match(r"[^\W_]", character) else _SIGN
+
+
+#: The kind of each character up to the last that ``_OTHER`` leaves.
+_KINDS = np.array([_kind(chr(c)) for c in range(0x2028)], np.uint8)
+
+
+def pre_tokens(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First characters, and those after the last, of the pre-tokens of lower-cased text: runs of letters, single
+    digits, runs of signs, and endings with their apostrophe."""
+    kind = np.concatenate([_KINDS[codes], np.zeros(4, np.uint8)])
+    codes = np.concatenate([codes, np.zeros(4, codes.dtype)])
+    begins = (kind != _SPACE) & (kind == _DIGIT)
+    begins[0] |= kind[0] != _SPACE
+    begins[1:] |= (kind[1:] != _SPACE) & (kind[1:] != kind[:-1])
+    marks = np.flatnonzero(begins & (codes == 0x27))
+    for ending in _ENDINGS:
+        hit = np.ones(len(marks), bool)
+        for i, letter in enumerate(ending, 1):
+            hit &= codes[marks + i] == ord(letter)
+        at = marks[hit]
+        begins[at + 1] = False
+        after = at + 1 + len(ending)
+        begins[after] = kind[after] != _SPACE
+        marks = marks[~hit]
+    ends = (kind[:-1] != _SPACE) & (begins[1:] | (kind[1:] == _SPACE))
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
 def byte_letters() -> list[str]:
@@ -110,6 +152,17 @@ def merged(symbols: np.ndarray, table: PairTable) -> list[tuple[np.ndarray, np.n
     return done
 
 
+def _parts(text: str) -> Iterator[str]:
+    """A long text cut after white space."""
+    blank = re.compile(r"\s")
+    at = 0
+    while at < len(text):
+        found = blank.search(text, at + SLICE)
+        end = found.end() if found else len(text)
+        yield text[at:end]
+        at = end
+
+
 class WordIds:
     """Ids of texts under a word-end BPE vocabulary of the tokenizers library."""
 
@@ -128,30 +181,75 @@ class WordIds:
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.table = PairTable(np.array([(vocab[a], vocab[b]) for a, b in merges], np.int64),
                                np.array([vocab[a + b] for a, b in merges]))
-        self.known: dict[str, bytes] = {}
-
-    def _pieces(self, pieces: list[bytes]) -> dict[bytes, bytes]:
-        """The ids of each pre-token, as bytes."""
-        out: dict[bytes, bytes] = {}
-        by_length: dict[int, list[bytes]] = {}
-        for piece in pieces:
-            by_length.setdefault(len(piece), []).append(piece)
-        for length, group in by_length.items():
-            raw = np.frombuffer(b"".join(group), np.uint8).reshape(-1, length)
+        self._forget()
+
+    def _forget(self) -> None:
+        """An empty table: the number of each known pre-token by its hash, and the ids of all of them in a row."""
+        self.known: dict[int, int] = {}
+        self.begin, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def _learn(self, codes: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+        """The ids of new pre-tokens, given by their hashes and bytes."""
+        self.known.update(zip(codes.tolist(), range(len(self.length), len(self.length) + len(codes))))
+        found = []
+        for size in np.unique(sizes).tolist():
+            which = np.flatnonzero(sizes == size)
+            raw = data[starts[which][:, None] + np.arange(size)]
             symbols = self.inner[raw]
             symbols[:, -1] = self.final[raw[:, -1]]
-            for rows, ids in merged(symbols, self.table):
-                data, width = ids.astype("<u4").tobytes(), 4 * ids.shape[1]
-                for k, row in enumerate(rows.tolist()):
-                    out[group[row]] = data[k * width:(k + 1) * width]
-        return out
-
-    def _learn(self, words: set[str]) -> None:
-        # a word of letters alone is one pre-token
-        parts = {w: [w.lower().encode()] if w.isalpha() else
-                 [p.encode() for p in _WORD.findall(unicodedata.normalize("NFC", w).lower())] for w in words}
-        ids = self._pieces(list({p for found in parts.values() for p in found}))
-        self.known.update((w, b"".join([ids[p] for p in found])) for w, found in parts.items())
+            found += [(which[rows], ids) for rows, ids in merged(symbols, self.table)]
+        lengths = np.zeros(len(codes), np.int64)
+        for which, ids in found:
+            lengths[which] = ids.shape[1]
+        begin = np.cumsum(lengths) - lengths
+        flat = np.zeros(int(lengths.sum()), "<u4")
+        for which, ids in found:
+            flat[begin[which][:, None] + np.arange(ids.shape[1])] = ids
+        self.begin = np.concatenate([self.begin, len(self.ids) + begin])
+        self.length = np.concatenate([self.length, lengths])
+        self.ids = np.concatenate([self.ids, flat])
+
+    def _numbers(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of each byte range in the table; unknown ones are learned."""
+        distinct, first, which = np.unique(text_bytes.range_hashes(data, starts, ends), return_index=True,
+                                           return_inverse=True)
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        get = self.known.get
+        numbers = np.fromiter([get(key, -1) for key in distinct.tolist()], np.int64, len(distinct))
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            numbers[new] = len(self.length) + np.arange(len(new))
+            self._learn(distinct[new], data, starts[first[new]], (ends - starts)[first[new]])
+        return numbers[which]
+
+    def _slice(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that hold plain characters only."""
+        joined = "\n".join(texts).lower()  # each of these characters has one lower case, as many bytes long
+        codes = np.frombuffer(joined.encode("utf-16-le"), "<u2")
+        starts, ends = pre_tokens(codes)
+        place = np.concatenate([[0], np.cumsum(1 + (codes >= 0x80) + (codes >= 0x800).astype(np.int64))])
+        numbers = self._numbers(np.frombuffer(joined.encode(), np.uint8), place[starts], place[ends])
+        lengths = self.length[numbers]
+        after = np.concatenate([[0], np.cumsum(lengths)])
+        ids = self.ids[np.arange(after[-1]) + np.repeat(self.begin[numbers] - after[:-1], lengths)]
+        edges = np.cumsum([0, *(len(text) + 1 for text in texts)])
+        cuts = after[np.searchsorted(starts, edges)].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
+    def _plain_ids(self, texts: list[str]) -> Iterator[bytes]:
+        held, size = [], 0
+        for text in texts:
+            if held and size + len(text) > SLICE:
+                yield from self._slice(held)
+                held, size = [], 0
+            if len(text) > SLICE:
+                yield b"".join(self._slice([part])[0] for part in _parts(text))
+            else:
+                held.append(text)
+                size += len(text)
+        if held:
+            yield from self._slice(held)
 
     @staticmethod
     def _plain(text: str) -> bool:
@@ -161,16 +259,11 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [text.split() if self._plain(text) else None for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        new = set().union(*(words for words in split if words)).difference(self.known)
-        if new:
-            self._learn(new)
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) if words is not None else
+        plain = [self._plain(text) for text in texts]
+        found = self._plain_ids([text for text, whole in zip(texts, plain) if whole])
+        return [next(found) if whole else
                 np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-                for text, words in zip(texts, split)]
+                for text, whole in zip(texts, plain)]
 
 
 def encoder(path: str) -> Callable[[], Callable[[list[str]], list[bytes]]]:
