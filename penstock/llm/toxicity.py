@@ -29,18 +29,22 @@ GRAMS = (3, 4, 5)
 LEAST_GRAMS = 100
 
 
+#: Drawn ids never exceed so many times ``Fit.rows``: two labels, each drawn with a share that gives about that many.
+DRAWN = 4
+
+
 @dataclass(frozen=True)
 class Fit:
     """Bounds and settings of the training.
 
     ``rows``: labelled rows learned from, at most about this many of either
     label, drawn by a hash of the id; ``longest``: code points of a row that
-    is learned from, longer ones are only scored.
+    is learned from, longer ones are only scored. Both bound what training holds.
     """
 
     rows: int = 2_000
-    longest: int = 8_000
-    window: int = 32
+    longest: int = 60_000
+    window: int = 16
     buckets: int = 1 << 18
     size: int = 8
     epochs: int = 25
@@ -196,8 +200,10 @@ def fitted(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), id_col: str = "
     for label, size in sizes.items():
         share = F.when(F.col("label") == label, min(1.0, fit.rows / max(size, 1))).otherwise(share)
     draw = F.pmod(F.xxhash64(F.lit(fit.seed), "id"), F.lit(1 << 30)) < share * (1 << 30)
+    # so few that every task gets them; texts stay where they are until the drawn ones are picked
+    drawn = F.broadcast(known.where(draw).limit(DRAWN * fit.rows))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")) \
-        .where(F.length("text") <= fit.longest).join(known.where(draw), "id").select("id", "text", "label")
+        .where(F.length("text") <= fit.longest).join(drawn, "id").select("id", "text", "label")
 
     def learn(sample: pa.Table) -> pa.Table:
         ordered = sample.sort_by([("id", "ascending"), ("text", "ascending")])
