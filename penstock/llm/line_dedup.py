@@ -6,9 +6,9 @@ cascade of bit arrays with ranks) over three compact arrays: fingerprints,
 document counts and last holders. Documents send their hashes to the shards and
 probe the arrays; the lines themselves are neither joined nor moved.
 
-Lines so common that they would load one shard are known beforehand: at most
-``HEAVY`` hashes can hold more than that share of all entries, so that list has
-a proven bound and every task gets it.
+A line that very many documents hold makes its shard hot. Such shards, of which
+there are at most ``HOT``, are copied, and their entries dealt over the copies;
+a task streams the entries of a copy past its arrays, however many there are.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ from penstock.llm.store import prepared, written
 
 #: Distinct lines per shard, on average.
 SHARD_LINES = 32_768
-#: A line in more than one of so many parts of all entries is heavy; there are at most so many.
-HEAVY = 10_000
+#: A shard with more than one of so many parts of all entries is hot; there are at most so many.
+HOT = 1_000
 #: Bits per key at each level of the hash.
 SPREAD = 2
 #: Counts are kept in one byte.
@@ -157,23 +157,54 @@ def line_index(lines: DataFrame, shards: int) -> DataFrame:
     return lines.withColumn("shard", F.pmod("h1", F.lit(shards))).groupBy("shard").applyInArrow(build, INDEX)
 
 
-def probed(entries: DataFrame, index: DataFrame, shards: int, min_docs: int) -> DataFrame:
+def copies(lines: DataFrame, shards: int, total: int) -> DataFrame:
+    """(shard, copies) of the hot shards, copied so that no copy answers more than one ``HOT``-th of all entries."""
+    most = total // HOT + 1
+    return lines.groupBy(F.pmod("h1", F.lit(shards)).alias("shard")).agg(F.sum("n_docs").alias("n")) \
+        .where(F.col("n") > most).select("shard", F.ceil(F.col("n") / most).cast("int").alias("copies"))
+
+
+_ARRAYS = ("sizes", "bits", "fingerprints", "counts", "holders")
+
+
+def probed(entries: DataFrame, index: DataFrame, hot: DataFrame, shards: int, min_docs: int) -> DataFrame:
     """The entries (doc_id, h1, h2) of lines to drop, looked up in the arrays of their shard."""
-    def probe(key: tuple, asked: pa.Table, arrays: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays: tuple | None = None
+        for batch in batches:
+            edges = np.flatnonzero(batch.column("bits").is_valid().to_numpy(zero_copy_only=False))
+            for first, last in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+                if first == last:
+                    continue
+                part = batch.slice(first, last - first)
+                if part.column("bits")[0].is_valid:
+                    row = {c: part.column(c)[0].as_py() for c in _ARRAYS}
+                    arrays = (PerfectHash(row["sizes"], row["bits"]), np.frombuffer(row["fingerprints"], np.uint32),
+                              np.frombuffer(row["counts"], np.uint8), np.frombuffer(row["holders"], np.int64))
+                    part = part.slice(1)
+                if part.num_rows:
+                    yield _drops(part, *arrays)
+
+    def _drops(asked: pa.RecordBatch, names: PerfectHash, prints: np.ndarray, counts: np.ndarray,
+               holders: np.ndarray) -> pa.RecordBatch:
         doc, h1, h2 = (asked.column(c).to_numpy() for c in ("doc_id", "h1", "h2"))
-        if not arrays.num_rows:
-            drop = np.zeros(len(doc), bool)
-        else:
-            row = arrays.to_pylist()[0]
-            number = PerfectHash(row["sizes"], row["bits"]).numbers(h1, h2)
-            prints = np.frombuffer(row["fingerprints"], np.uint32)
-            known = (number >= 0) & (prints[number] == h2.view(np.uint64).astype(np.uint32))
-            drop = known & (np.frombuffer(row["counts"], np.uint8)[number] >= min_docs) & \
-                (np.frombuffer(row["holders"], np.int64)[number] != doc)
-        return pa.table({"doc_id": doc[drop], "h1": h1[drop], "h2": h2[drop]})
-
-    return entries.withColumn("shard", F.pmod("h1", F.lit(shards))).groupBy("shard") \
-        .cogroup(index.groupBy("shard")).applyInArrow(probe, "doc_id long, h1 long, h2 long")
+        number = names.numbers(h1, h2)
+        known = (number >= 0) & (prints[number] == h2.view(np.uint64).astype(np.uint32))
+        drop = known & (counts[number] >= min_docs) & (holders[number] != doc)
+        return pa.RecordBatch.from_arrays([pa.array(x[drop]) for x in (doc, h1, h2)], names=["doc_id", "h1", "h2"])
+
+    few = F.broadcast(hot)
+    many = F.coalesce("copies", F.lit(1))
+    kinds = dict(index.dtypes)
+    asked = entries.withColumn("shard", F.pmod("h1", F.lit(shards))).join(few, "shard", "left").select(
+        "shard", F.pmod(F.xxhash64("doc_id"), many).cast("int").alias("copy"), "doc_id", "h1", "h2",
+        *[F.lit(None).cast(kinds[c]).alias(c) for c in _ARRAYS])
+    told = index.join(few, "shard", "left").select(
+        "shard", F.explode(F.sequence(F.lit(0), many - 1)).alias("copy"),
+        *[F.lit(None).cast("long").alias(c) for c in ("doc_id", "h1", "h2")], *_ARRAYS)
+    # a copy's arrays come before its entries
+    return asked.unionByName(told).repartition("shard", "copy").sortWithinPartitions(
+        "shard", "copy", F.col("bits").isNull()).mapInArrow(run, "doc_id long, h1 long, h2 long")
 
 
 # ---------------------------------------------------------------- the operator
@@ -184,8 +215,8 @@ def line_dedup(docs: DataFrame, least: int = 20, min_docs: int = 3, id_col: str
 
     A text is split at \\n; a line's key has ``[\\x20\\x09-\\x0D]`` stripped at
     both ends and A-Z lower-cased. Keys of at least ``least`` code points in
-    at least ``min_docs`` (up to 255) rows lose all their lines except in the
-    largest id that holds them; several rows with that id all keep theirs.
+    at least ``min_docs`` (up to 255) ids lose all their lines except in the
+    largest id that holds them; several rows with one id count once, and with the largest all keep theirs.
 
     A null text is one empty line and comes back empty. A row with a null id
     keeps all its lines and counts for none. Other columns pass through; one
@@ -199,16 +230,12 @@ def line_dedup(docs: DataFrame, least: int = 20, min_docs: int = 3, id_col: str
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.col(f"`{text_col}`").cast("string").alias("text"), rest.alias("rest"))
     entries = written(line_entries(rows, least), "line-entries")
-    lines = written(entries.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("holder")),
-                    "lines")
+    lines = written(entries.groupBy("h1", "h2").agg(F.count_distinct("doc_id").alias("n_docs"),
+                                                    F.max("doc_id").alias("holder")), "lines")
     total, distinct = entries.count(), lines.count()
     shards = max(1, -(-distinct // SHARD_LINES))
-    heavy = lines.where(F.col("n_docs") >= max(min_docs, total // HEAVY + 1)) \
-        .withColumnRenamed("holder", "heavy_holder").select("h1", "h2", "heavy_holder")
-    told = entries.join(F.broadcast(heavy), ["h1", "h2"], "left")
     index = written(line_index(lines, shards), "line-index")
-    dropped = told.where("heavy_holder <> doc_id").select("doc_id", "h1", "h2").union(
-        probed(told.where("heavy_holder IS NULL").select("doc_id", "h1", "h2"), index, shards, min_docs))
+    dropped = probed(entries, index, copies(lines, shards, total), shards, min_docs)
     drops = dropped.groupBy("doc_id").agg(F.collect_list("h1").alias("d1"), F.collect_list("h2").alias("d2"))
     joined = rows.join(drops, "doc_id", "left")
 

@@ -20,16 +20,16 @@ BLANKS = " \t\n\x0b\x0c\r"
 def lines_by_hand(rows, least=20, min_docs=3):
     def key(line):
         return line.translate(LOWER).strip(BLANKS)
-    holders = defaultdict(list)
+    holders = defaultdict(set)
     for doc, text in rows:
         if doc is not None:
             for k in {key(x) for x in (text or "").split("\n")}:
                 if len(k) >= least:
-                    holders[k].append(doc)
+                    holders[k].add(doc)
     out = []
     for doc, text in rows:
         lines = (text or "").split("\n")
-        kept = [x for x in lines if doc is None or len(holders.get(key(x), [])) < min_docs or max(holders[key(x)]) == doc]
+        kept = [x for x in lines if doc is None or len(holders.get(key(x), ())) < min_docs or max(holders[key(x)]) == doc]
         out.append((doc, "\n".join(kept), len(lines), len(lines) - len(kept)))
     return sorted(out, key=str)
 
@@ -78,11 +78,36 @@ def test_lines_at_random(spark):
     assert found(got) == lines_by_hand(rows)
 
 
-def test_a_heavy_line_is_answered_without_its_shard(spark, monkeypatch):
-    monkeypatch.setattr(line_dedup, "HEAVY", 3)
+def test_every_drop_comes_from_a_probe_of_copied_shards(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT", 3)
     monkeypatch.setattr(line_dedup, "SHARD_LINES", 16)
-    rows = [(i, f"the line that everybody holds\nan own line of document {i // 2}") for i in range(200)]
-    assert found(line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string"))) == lines_by_hand(rows)
+    told, probe, copies = [], line_dedup.probed, line_dedup.copies
+
+    def probed(*given):
+        out = probe(*given)
+        told.extend(tuple(r) for r in out.collect())
+        return out
+
+    def copied(*given):
+        out = copies(*given)
+        assert out.agg({"copies": "max"}).first()[0] > 1
+        return out
+
+    monkeypatch.setattr(line_dedup, "probed", probed)
+    monkeypatch.setattr(line_dedup, "copies", copied)
+    rows = [(i, f"the line that everybody holds\nan own line of document {i // 4}") for i in range(200)]
+    got = found(line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got == lines_by_hand(rows)
+    assert len(told) == sum(r[3] for r in got) == 199 + 150
+
+
+def test_rows_that_repeat_an_id_count_once(spark):
+    line = "one line of more than twenty characters"
+    rows = [(1, line), (1, line), (2, line), (3, "x\n" + line + " two"), (3, line + " two"), (4, line + " two"),
+            (5, line + " two")]
+    got = found(line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got == lines_by_hand(rows)
+    assert sum(r[3] for r in got) == 3
 
 
 def test_perfect_hash_is_minimal():
