@@ -6,7 +6,7 @@ returns documents again; the last returns the pieces of packed sequences.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from penstock.llm import language, line_dedup, near_dup, packing, queries, toxicity, word_ids
@@ -17,14 +17,22 @@ LEAST_LANGUAGE = 0.2
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier doesn't call toxic; it learns from the labelled ones that are not held back."""
+    """Documents that the classifier doesn't call toxic; it learns from the labelled ones that are not held back.
+
+    Null and empty texts score low and stay, as do rows with a null id; repeated rows share their fate. Without
+    labels of both kinds everything scores alike, and low, so all stay. An empty table stays empty.
+    """
     learned = table(spark, sf_dir, "labels").where(queries.remainder(5) != 0)
     model = toxicity.fitted(docs, learned)
     return docs.where(toxicity.scores(spark, model)(F.col("text")) < 0.5)
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages that occur; those without letters, or like none of them, go."""
+    """Documents in one of the languages that occur; those without letters, or like none of them, go.
+
+    So null and empty texts go; a null id changes nothing, repeated rows share their fate, ties between
+    languages go to the first by name. An empty table stays empty.
+    """
     filters = language.fitted(docs.where(queries.remainder(4) != 2))
     found = language.predictions(spark, filters)(F.col("text"))
     kept = docs.withColumn("__found", found).where(
@@ -33,18 +41,36 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The same documents; lines that several hold stay in the last of these."""
+    """The same documents; lines that at least three hold stay only in the last of these.
+
+    A null text comes back empty; a row with a null id keeps its lines and counts for none; rows that repeat an id
+    count once. ``n_chars`` follows the text. An empty table stays empty.
+    """
     return line_dedup.line_dedup(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of every group of near duplicates."""
+    """The first document of every group of near duplicates, one row of each.
+
+    Empty texts are near to nothing and stay. Of rows that repeat an id, the one whose text comes first stays. Rows with
+    a null id are compared with each other by equal text only. An empty table stays empty.
+    """
     found = near_dup.near_duplicates(docs)
-    return docs.join(found.where("NOT kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(found.where("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    repeated = docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__id"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id"))
+    rank = F.row_number().over(Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")))
+                               .orderBy("text"))
+    several = kept.join(repeated, same, "left_semi").withColumn("__rank", rank).where("__rank = 1").drop("__rank")
+    return kept.join(repeated, same, "left_anti").unionByName(several)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of packed sequences, with their token ids."""
+    """The pieces of packed sequences, with their token ids.
+
+    A null or empty text is its end id alone; repeated rows and rows with a null id are packed each on its own. An empty
+    table gives no pieces.
+    """
     return packing.pack(docs, word_ids.encoder(queries.vocabulary("word_bpe_49k.json")))
 
 
@@ -56,7 +82,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Classifiers and a similarity join have no SQL; the tests hold each stage against a brute-force version.
+#: Classifiers and a similarity join have no SQL; tests hold the stages against brute force or held-out labels.
 ORACLE_SQL = None
 
 
