@@ -34,6 +34,8 @@ from penstock.llm.shingles import shingle_sets
 from penstock.llm.store import prepared, written
 
 FUNCTIONS = 128
+#: Functions by which a node is split at once where the trees don't suffice.
+FASTER = 4
 _ODD = np.random.default_rng(7).integers(0, 2**32, FUNCTIONS, dtype=np.uint32) | np.uint32(1)
 _SALT = np.random.default_rng(8).integers(0, 2**32, FUNCTIONS, dtype=np.uint32)
 
@@ -205,7 +207,7 @@ def candidate_pairs(members: DataFrame, plan: Plan) -> DataFrame:
         ends = np.unique(np.stack([np.minimum(doc[left], doc[right]), np.maximum(doc[left], doc[right])]), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], names=["a", "b"])
 
-    return _by_node(members.withColumn("component", F.col("doc")), pairs, "a long, b long").distinct()
+    return _by_node(members.withColumn("component", F.col("doc")), pairs, "a long, b long")
 
 
 def still_near(members: DataFrame, plan: Plan) -> DataFrame:
@@ -219,6 +221,34 @@ def still_near(members: DataFrame, plan: Plan) -> DataFrame:
     return _by_node(members, rows, "node long, doc long")
 
 
+def _common(values: np.ndarray, offsets: np.ndarray, left: np.ndarray, right: np.ndarray,
+            wanted: Callable[[int, int], bool]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(i, the j of the pairs (i, j) still wanted, their common shingles), one i after the other.
+
+    A set meets all its partners at once, by lists of the sets that hold a shingle.
+    """
+    rows = np.unique(np.concatenate([left, right]))
+    flat = np.concatenate([values[offsets[r]:offsets[r + 1]] for r in rows])
+    lengths = offsets[rows + 1] - offsets[rows]
+    owner = np.repeat(np.arange(len(rows)), lengths)
+    gram = np.unique(flat, return_inverse=True)[1]
+    order = np.argsort(gram, kind="stable")
+    holders, first = owner[order], np.searchsorted(gram[order], np.arange(gram.max(initial=0) + 2))
+    begin = np.concatenate([[0], np.cumsum(lengths)])
+    order = np.argsort(left, kind="stable")
+    left, right = left[order], right[order]
+    edges = np.flatnonzero(np.concatenate([[True], left[1:] != left[:-1], [True]]))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        i, others = int(left[a]), right[a:b]
+        others = others[np.fromiter((wanted(i, int(j)) for j in others), bool, len(others))]
+        if len(others):
+            at = int(np.searchsorted(rows, i))
+            mine = gram[begin[at]:begin[at + 1]]
+            met = np.bincount(np.concatenate([holders[first[g]:first[g + 1]] for g in mine.tolist()]),
+                              minlength=len(rows))
+            yield i, others, met[np.searchsorted(rows, others)]
+
+
 def confirmed_within(members: DataFrame, plan: Plan) -> DataFrame:
     """Links (a, b) that join components, from ``members(..., component, shingles)``: every near pair of different
     components of a node is confirmed on the full sets, until a link has joined the two."""
@@ -235,16 +265,18 @@ def confirmed_within(members: DataFrame, plan: Plan) -> DataFrame:
             return x
 
         found: list[tuple[int, int]] = []
-        for k in np.argsort(-matches, kind="stable").tolist():
-            i, j = int(left[k]), int(right[k])
-            p, q = root(int(group[i])), root(int(group[j]))
-            if p == q:
-                continue
-            x, y = (values[offsets[n]:offsets[n + 1]] for n in (i, j))
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * common >= plan.percent * (len(x) + len(y) - common):
-                up[p] = q
-                found.append((int(doc[i]), int(doc[j])))
+        order = np.argsort(node[left], kind="stable")
+        left, right = left[order], right[order]
+        edges = np.flatnonzero(np.concatenate([[True], node[left][1:] != node[left][:-1], [True]])) if len(left) else []
+        for first, last in zip(edges[:-1], edges[1:]):
+            for i, others, common in _common(values, offsets, left[first:last], right[first:last], lambda i, j: root(
+                    int(group[i])) != root(int(group[j]))):
+                sizes = size[i] + size[others]
+                for j in others[100 * common >= plan.percent * (sizes - common)].tolist():
+                    p, q = root(int(group[i])), root(int(group[j]))
+                    if p != q:
+                        up[p] = q
+                        found.append((int(doc[i]), int(doc[j])))
         ends = list(zip(*found)) or [[], []]
         return pa.RecordBatch.from_arrays([pa.array(e, pa.int64()) for e in ends], names=["a", "b"])
 
@@ -303,12 +335,16 @@ def _nodes(sets: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame, DataFrame
         if level > plan.depth:
             members.append(_blocks(large, counts, plan))
             break
-        spread = f"element_at(array({', '.join(map(str, plan.coordinate(level)))}), tree + 1)"
-        rows = written(large.select("tree", F.expr(f"xxhash64(node, {part(spread)})").alias("node"), "doc", "minima"),
+        # documents of deeper nodes are also joined by rare shingles, so there the nodes are split faster
+        ahead = range(level, level + (1 if level <= safe else FASTER))
+        spread = ", ".join(part(f"element_at(array({', '.join(map(str, plan.coordinate(at)))}), tree + 1)")
+                           for at in ahead)
+        rows = written(large.select("tree", F.expr(f"xxhash64(node, {spread})").alias("node"), "doc", "minima"),
                        "large-nodes")
         # one tree that goes on is enough: how deep a document comes depends on what it shares
         if level == safe:
             deep = rows.select("doc").distinct()
+        level = ahead[-1]
     return _union(alone), _union(members), deep
 
 
