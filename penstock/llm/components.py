@@ -2,11 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from penstock.llm.store import written
 
+#: Links of a task that are joined to stars at once before the first round.
+HELD = 1 << 18
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links with the same components, every node pointed to the smallest that the links at hand reach."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (above := up.get(x, x)) != x:
+            up[x] = x = up.get(above, above)
+        return x
+
+    def flushed() -> pa.RecordBatch:
+        ends = [(x, y) for x in up if (y := root(x)) != x]
+        up.clear()
+        return pa.RecordBatch.from_arrays([pa.array(e, pa.int64()) for e in (zip(*ends) if ends else ([], []))],
+                                          names=["u", "v"])
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            a, b = root(a), root(b)
+            if a != b:
+                up[max(a, b)] = min(a, b)
+        if len(up) > HELD:
+            yield flushed()
+    if up:
+        yield flushed()
+
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links(a, b)``; a component is named by its smallest node.
@@ -15,25 +47,24 @@ def components(links: DataFrame) -> DataFrame:
     and then each node to the smallest of its neighbours, which ends in one
     star per component after a number of rounds logarithmic in its width.
     Minima are combined before the exchange and joined back, so the links of a
-    hub are never gathered. Links with a null end, and of a node to itself,
+    hub are never gathered. A round that moves no link is the last. Links with a null end, and of a node to itself,
     say nothing. An empty table has no components.
     """
-    links = written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                    .distinct(), "links")
-    before = None
-    while True:
-        both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    links = written(links.where("a <> b").select(F.col("a").cast("long"), F.col("b").cast("long"))
+                    .mapInArrow(_stars, "u long, v long"), "links")
+    moved = True
+    while moved:
+        both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = written(large.distinct(), "links")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(
-            F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
-            F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.*")
-        links = written(small.where("u <> v").distinct(), "links")
-        state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
-            break
-        before = state
-    ends = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return ends.union(ends.select(F.col("component").alias("node"), "component").distinct())
+        large = written(both.join(least, "u").where("v > u").select(
+            F.col("v").alias("u"), F.col("m").alias("v"), F.expr("m < u").alias("moved")), "links")
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.max("moved").alias("moved"))
+        # one of a node's links to its smallest neighbour stays, its other neighbours are pointed there
+        small = large.join(least, "u").select(
+            F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"),
+            (F.expr("v <> m") | least["moved"]).alias("moved"))
+        links = written(small.groupBy("u", "v").agg(F.max("moved").alias("moved")), "links")
+        moved = links.agg(F.max("moved")).first()[0]
+    ends = F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("component")),
+                             F.struct(F.col("v").alias("node"), F.col("v").alias("component"))))
+    return links.select(ends.alias("x")).select("x.*").distinct()

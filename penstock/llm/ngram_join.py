@@ -49,10 +49,6 @@ class Join:
         """Least common n-grams of linked sets of these sizes."""
         return -(-self.percent * (left + right) // (100 + self.percent))
 
-    def partner(self, size: int) -> int:
-        """The largest set that one of ``size`` can be linked with."""
-        return 100 * size // self.percent
-
     def differing(self, size: int) -> int:
         """Most n-grams in one but not both of linked sets, the smaller of ``size``."""
         return (100 - self.percent) * size // self.percent
@@ -285,13 +281,15 @@ def blocks(agreed: DataFrame, join: Join) -> DataFrame:
     larger ones each part's documents are a block, one for parts with the same documents; what is still
     too large becomes pairs of smaller blocks, so that no task holds more than a block.
     """
-    counted = agreed.groupBy("part").agg(
+    several = agreed.groupBy("part").count().where("count > 1").select("part")
+    # the same plan at every size: the parts that several sets have grow with the table
+    found = written(agreed.join(several.hint("merge"), "part"), "shared-parts")
+    counted = found.groupBy("part").agg(
         F.count("*").alias("n"), F.sum("size").alias("grams"), F.min("doc").alias("hub"),
-        F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("name")).where("n > 1")
-    kept = written(counted.groupBy("n", "grams", "hub", "name").agg(F.min("part").alias("part"))
-                   .drop("name"), "parts")
-    rows = written(agreed.join(kept, "part").select("part", "doc", "size", "hub", "n", "grams"), "agreed")
-    ends = components(rows.where("doc <> hub").select(F.col("doc").alias("a"), F.col("hub").alias("b")).distinct()) \
+        F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("name"))
+    kept = counted.groupBy("n", "grams", "hub", "name").agg(F.min("part").alias("part")).drop("name")
+    rows = written(found.join(kept, "part").select("part", "doc", "size", "hub", "n", "grams"), "agreed")
+    ends = components(rows.where("doc <> hub").select(F.col("doc").alias("a"), F.col("hub").alias("b"))) \
         .select(F.col("node").alias("doc"), F.col("component").alias("group"))
     placed = written(rows.select("doc", "size").distinct().join(ends, "doc"), "groups-of-parts")
     small = written(placed.groupBy("group").agg(F.count("*").alias("members"), F.sum("size").alias("held"))
