@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from penstock.llm.store import written
 
-#: Links of a task that are joined to stars at once before the first round.
+#: Links of a task that are joined to stars at once, at most.
 HELD = 1 << 18
+#: Links for which a round has one task.
+SHARE = 1 << 14
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -30,7 +32,7 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           names=["u", "v"])
 
     for batch in batches:
-        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+        for a, b in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
             a, b = root(a), root(b)
             if a != b:
                 up[max(a, b)] = min(a, b)
@@ -43,28 +45,35 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links(a, b)``; a component is named by its smallest node.
 
-    Each round points the larger neighbours of every node to the smallest one
-    and then each node to the smallest of its neighbours, which ends in one
-    star per component after a number of rounds logarithmic in its width.
-    Minima are combined before the exchange and joined back, so the links of a
+    Each round joins the links at hand in every task to stars, then points the
+    larger neighbours of every node to the smallest one and each node to the
+    smallest of its neighbours, which ends in one star per component after a
+    number of rounds logarithmic in its width. What fits in one task's share is stars by then and
+    needs no round. Minima are combined before the exchange and joined back, so the links of a
     hub are never gathered. A round that moves no link is the last. Links with a null end, and of a node to itself,
     say nothing. An empty table has no components.
     """
-    links = written(links.where("a <> b").select(F.col("a").cast("long"), F.col("b").cast("long"))
-                    .mapInArrow(_stars, "u long, v long"), "links")
-    moved = True
-    while moved:
-        both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    def joined(frame: DataFrame) -> DataFrame:
+        return written(frame.mapInArrow(_stars, "u long, v long"), "links")
+
+    links = joined(links.where("a <> b").select(F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("v")))
+    while True:
+        tasks = -(-links.count() // SHARE)
+        links = joined(links.select("u", "v").coalesce(max(tasks, 1)))
+        if tasks <= 1:
+            break
+        both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = written(both.join(least, "u").where("v > u").select(
-            F.col("v").alias("u"), F.col("m").alias("v"), F.expr("m < u").alias("moved")), "links")
+            F.col("v").alias("u"), F.col("m").alias("v"), F.expr("m < u").alias("moved")).coalesce(tasks), "links")
         least = large.groupBy("u").agg(F.min("v").alias("m"), F.max("moved").alias("moved"))
         # one of a node's links to its smallest neighbour stays, its other neighbours are pointed there
         small = large.join(least, "u").select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"),
             (F.expr("v <> m") | least["moved"]).alias("moved"))
-        links = written(small.groupBy("u", "v").agg(F.max("moved").alias("moved")), "links")
-        moved = links.agg(F.max("moved")).first()[0]
+        links = written(small.groupBy("u", "v").agg(F.max("moved").alias("moved")).coalesce(tasks), "links")
+        if not links.agg(F.max("moved")).first()[0]:
+            break
     ends = F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("component")),
                              F.struct(F.col("v").alias("node"), F.col("v").alias("component"))))
     return links.select(ends.alias("x")).select("x.*").distinct()

@@ -118,7 +118,9 @@ def test_perfect_hash_is_minimal():
     assert made.bits.size < 6 * 50_000
 
 
-def test_components(spark):
+@pytest.mark.parametrize("share", [16, 1 << 14])
+def test_components(spark, monkeypatch, share):
+    monkeypatch.setattr("penstock.llm.components.SHARE", share)
     rng = random.Random(1)
     links = [(i, i + 1) for i in range(0, 40)] + [(100 + rng.randint(0, 60), 100 + rng.randint(0, 60)) for _ in range(50)]
     links += [(500, 500 + i) for i in range(1, 80)] + [(5, 5), (None, 3)]
