@@ -211,14 +211,16 @@ def candidate_pairs(members: DataFrame, plan: Plan) -> DataFrame:
 
 
 def still_near(members: DataFrame, plan: Plan) -> DataFrame:
-    """The rows (node, doc) of ``members`` that have a near pair in their node of another component."""
+    """The rows of ``members`` that have a near pair in their node of another component."""
+    columns = ["node", "doc", "size", "side", "component", "sketch"]
+
     def rows(table: pa.Table) -> pa.RecordBatch:
         node, doc, size, side, group, sketch = _columns(table)
         left, right, _ = _close_pairs(node, doc, size, group, sketch, side, plan)
         kept = np.unique(np.concatenate([left, right]))
-        return pa.RecordBatch.from_arrays([pa.array(node[kept]), pa.array(doc[kept])], names=["node", "doc"])
+        return pa.RecordBatch.from_arrays([table.column(c).take(kept).combine_chunks() for c in columns], names=columns)
 
-    return _by_node(members, rows, "node long, doc long")
+    return _by_node(members, rows, "node long, doc long, size long, side int, component long, sketch binary")
 
 
 def _common(values: np.ndarray, offsets: np.ndarray, left: np.ndarray, right: np.ndarray,
@@ -537,8 +539,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
     if near.limit(1).count():
         shingles = _sets_of(near.select(F.col("doc").alias("doc_id")), docs, plan) \
             .select(F.col("doc_id").alias("doc"), "shingles")
-        rows = sketched(open_.join(near.distinct(), ["node", "doc"], "left_semi")).join(shingles, "doc")
-        links = written(links.union(confirmed_within(rows, plan)), "links-within")
+        links = written(links.union(confirmed_within(near.join(shingles, "doc"), plan)), "links-within")
         groups = written(components(links), "groups")
     if deep is not None:
         placed = written(deep.join(groups, deep["doc"] == groups["node"], "left").select(
