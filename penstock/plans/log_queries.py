@@ -16,6 +16,8 @@ from penstock.streaming import jobs
 SIZE_LIMIT = 2000
 AS_OF = "2024-01-31"
 LOG_ROOT = "/logs/src1"
+ERROR_LINES = 5
+FILE_DOCUMENTS = 1000
 UPSERT_KEY = ["load_dt", "app_name", "unix_time_stamp"]
 
 
@@ -124,7 +126,19 @@ def log_severity(spark, sf_dir):
 
 
 def error_tail(spark, sf_dir):
-    return keyed.last_per_group(_lines(spark, sf_dir), ["file"], "line_no", 5)
+    return keyed.last_per_group(_lines(spark, sf_dir), ["file"], "line_no", ERROR_LINES)
+
+
+def error_tail_files(spark, sf_dir):
+    """The last lines of real log files, read from the files' ends; a thousand documents in a row are one file."""
+    path = fresh_folder(spark, "log-ends")
+    texts = fixtures.table(spark, sf_dir, "documents").where("text IS NOT NULL").select(
+        F.floor(F.col("doc_id") / FILE_DOCUMENTS).alias("part"), "doc_id", "text")
+    texts.repartition("part").sortWithinPartitions("part", "doc_id").select("part", "text").write.partitionBy(
+        "part").text(path)
+    lines = tail.read(spark, path, pattern=r".*/part=[^/]+/part-.*\.txt", lastLines=ERROR_LINES)
+    return keyed.last_per_group(lines, ["file"], "position", ERROR_LINES).select(
+        F.regexp_extract("file", "part=([^/]+)/", 1).cast("long").alias("part"), "value", "from_end")
 
 
 def retention_plan(spark, sf_dir):
@@ -152,7 +166,7 @@ def batch_counts(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in [
     log_normalize, log_normalize_sql, log_rejects, log_lake_upsert, log_tail_lines, log_tail_files, log_closed_files, log_file_name,
-    log_daily_archive, message_size_guard, log_severity, error_tail, retention_plan, path_safety, batch_counts,
+    log_daily_archive, message_size_guard, log_severity, error_tail, error_tail_files, retention_plan, path_safety, batch_counts,
 ]}
 
 _LAKE = "app_name, time_stamp, unix_time_stamp, level, logger, message, thread, exception, load_dt"
@@ -208,6 +222,11 @@ FROM normal WHERE rank <= 3""", LOGS),
     "error_tail": with_parts("""
 SELECT file, line_no, value, from_end FROM (
   SELECT *, CAST(max(line_no) OVER (PARTITION BY file) - line_no + 1 AS INTEGER) AS from_end FROM lines) WHERE from_end <= 5""", LINES),
+    "error_tail_files": with_parts(f"""
+SELECT part, value, from_end FROM (
+  SELECT doc_id // {FILE_DOCUMENTS} AS part, value, CAST(row_number() OVER (
+    PARTITION BY doc_id // {FILE_DOCUMENTS} ORDER BY doc_id DESC, line_no DESC) AS INTEGER) AS from_end
+  FROM lines) WHERE from_end <= {ERROR_LINES}""", LINES),
     "retention_plan": f"""
 SELECT strftime(ts, '%Y-%m-%d') AS load_date, count(*) AS rows,
   date_diff('day', CAST(min(ts) AS DATE), DATE '{AS_OF}') > 7 AS expired

@@ -43,15 +43,17 @@ def generate(spark: SparkSession, records: int = DEFAULT_RECORDS, seed: int = 0,
 
 
 def generate_stream(spark: SparkSession, records: int = DEFAULT_RECORDS, seed: int = 0,
-                    rows_per_batch: int = 10, interval_ms: int = DEFAULT_INTERVAL_MS) -> DataFrame:
+                    rows_per_batch: int = 10, interval_ms: int = DEFAULT_INTERVAL_MS,
+                    tasks: int | None = None) -> DataFrame:
     """The same as a stream that adds ``rows_per_batch`` records each interval and dries up after ``records``.
 
-    One partition, as the records are a numbered sequence.
+    The numbers of a batch are dealt over ``tasks`` tasks (by default one per core), so a batch's records come in no
+    particular order; ``n`` has it.
     """
     ticks = (
         spark.readStream.format("rate-micro-batch")
         .option("rowsPerBatch", rows_per_batch)
-        .option("numPartitions", 1)
+        .option("numPartitions", tasks or spark.sparkContext.defaultParallelism)
         .option("advanceMillisPerBatch", interval_ms)
         .load()
     )

@@ -4,7 +4,12 @@ Options: ``path`` (folder, any file system Arrow reads), ``pattern`` (regular
 expression the whole file path must match), ``chunkBytes`` (bytes one task
 reads); for streams ``maxBytesPerTrigger`` (bytes of a batch, shared fairly by all
 files that have new ones) and ``maxBytesPerFile`` (bytes taken from one file per
-batch); the rest follows in later batches.
+batch); the rest follows in later batches. For batches, ``lastLines`` gives the last
+complete lines of each file only; they are found from the file's end, a block at a time,
+so the bytes read don't grow with the file.
+
+A batch's filters on ``file`` are taken over by the source: the files they leave out are
+never opened.
 
 A byte range owns the lines whose end mark lies in it. So a position is just a
 number of bytes, the driver plans without reading the files, a file of any size
@@ -30,7 +35,9 @@ import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, In, InputPartition, StringContains,
+    StringEndsWith, StringStartsWith)
 
 from penstock.sources import folders
 
@@ -40,17 +47,21 @@ ARROW_SCHEMA = pa.schema([("value", pa.string()), ("file", pa.string()), ("posit
 DEFAULT_PATTERN = r".*/.*\.log"
 DEFAULT_CHUNK_BYTES = 64 * 1024 * 1024
 BLOCK_BYTES = 4 * 1024 * 1024
+#: Bytes of a step back from a file's end.
+END_BLOCK_BYTES = 64 * 1024
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 #: Bytes at either end of what was read that tell a file from another; files looked at together.
 PRINT_BYTES, PRINTS_AT_ONCE = 256, 16
 
 
 @dataclass
 class FileRange(InputPartition):
-    """Bytes ``start`` up to ``end`` of one file."""
+    """Bytes ``start`` up to ``end`` of one file, or the ``last`` lines that end there."""
 
     file: str
     start: int
     end: int
+    last: int | None = None
 
 
 def _file_system(path: str) -> tuple[fs.FileSystem, str]:
@@ -87,6 +98,23 @@ def _line_start(handle, at: int) -> int:
     return 0
 
 
+def last_start(handle, end: int, count: int) -> int:
+    """Where the last ``count`` complete lines of the first ``end`` bytes begin."""
+    wanted, at = count + 1, end
+    while at > 0:
+        begin = max(0, at - END_BLOCK_BYTES)
+        handle.seek(begin)
+        block = handle.read(at - begin)
+        marks = block.count(b"\n")
+        if marks >= wanted:
+            cut = len(block)
+            for _ in range(wanted):
+                cut = block.rfind(b"\n", 0, cut)
+            return begin + cut + 1
+        wanted, at = wanted - marks, begin
+    return 0
+
+
 def _batch(file: str, data: bytes, begin: int) -> pa.RecordBatch:
     """The lines of ``data`` (without its last end mark), the first of which begins at byte ``begin``."""
     lines = pc.split_pattern(pa.array([data], pa.large_binary()), b"\n").values
@@ -108,6 +136,8 @@ def read_range(path: str, part: FileRange) -> Iterator[pa.RecordBatch]:
     system, _ = _file_system(path)
     with system.open_input_file(part.file) as handle:
         begin, head, at = None, [], part.start
+        if part.last is not None:
+            begin = at = last_start(handle, part.end, part.last)
         while at < part.end:
             handle.seek(at)
             block = handle.read(min(BLOCK_BYTES, part.end - at))
@@ -158,6 +188,25 @@ def fair_shares(pending: Mapping[str, int], budget: int) -> dict[str, int]:
     return shares
 
 
+def admits(condition: Filter, file: str) -> bool:
+    """Whether a condition of ``TAKEN`` holds for a file's path."""
+    match condition:
+        case EqualTo(value=value):
+            return file == value
+        case In(value=values):
+            return file in values
+        case StringStartsWith(value=value):
+            return file.startswith(value)
+        case StringEndsWith(value=value):
+            return file.endswith(value)
+        case StringContains(value=value):
+            return value in file
+    raise TypeError(f"no condition on a path: {condition}")
+
+
+TAKEN = (EqualTo, In, StringStartsWith, StringEndsWith, StringContains)
+
+
 class _TailOptions:
     def __init__(self, options):
         self.path = options["path"]
@@ -166,18 +215,32 @@ class _TailOptions:
         limit, budget = options.get("maxBytesPerFile"), options.get("maxBytesPerTrigger")
         self.limit = int(limit) if limit else None
         self.budget = int(budget) if budget else None
+        self.last = int(options["lastLines"]) if options.get("lastLines") else None
 
 
 class TailReader(DataSourceReader):
     def __init__(self, options: _TailOptions):
         self.options = options
+        self.conditions: list[Filter] = []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for condition in filters:
+            if isinstance(condition, TAKEN) and condition.attribute == ("file",):
+                self.conditions.append(condition)
+            else:
+                yield condition
 
     def partitions(self) -> list[FileRange]:
         o = self.options
-        return [p for file, size in list_sizes(o.path, o.pattern).items() for p in split_range(file, 0, size, o.chunk)]
+        sizes = {file: size for file, size in list_sizes(o.path, o.pattern).items()
+                 if all(admits(condition, file) for condition in self.conditions)}
+        if o.last is not None:
+            return [FileRange(file, 0, size, o.last) for file, size in sizes.items()]
+        return [p for file, size in sizes.items() for p in split_range(file, 0, size, o.chunk)]
 
-    def read(self, partition: FileRange):
-        return read_range(self.options.path, partition)
+    def read(self, partition: FileRange | None):
+        # no file at all is one task without a range
+        return read_range(self.options.path, partition) if partition else iter(())
 
 
 class TailStreamReader(DataSourceStreamReader):
@@ -189,6 +252,8 @@ class TailStreamReader(DataSourceStreamReader):
     """
 
     def __init__(self, options: _TailOptions):
+        if options.last is not None:
+            raise ValueError("lastLines is for batches; a stream reads files from their start")
         self.options = options
         self.known: dict[str, dict] = {}
 
@@ -272,13 +337,14 @@ class LogTail(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    """Make the ``logtail`` format known to a session; workers need no copy of this package."""
+    """Make the ``logtail`` format known to a session, filters included; workers need no copy of this package."""
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(LogTail)
+    spark.conf.set(PUSHDOWN, "true")
 
 
 def read(spark: SparkSession, path: str, **options: str | int) -> DataFrame:
-    """All complete lines the files hold now."""
+    """All complete lines the files hold now, or with ``lastLines`` the last ones of each file."""
     register(spark)
     return spark.read.format(FORMAT).options(**options).load(folders.qualified(spark, path))
 

@@ -57,6 +57,78 @@ def test_batch_read_leaves_the_unfinished_line(spark, folder):
         ("a.log", "one"), ("a.log", "two"), ("b.log", ""), ("b.log", "größe")]
 
 
+@settings(max_examples=150, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.binary(max_size=60).map(lambda b: bytes(b"\nab"[x % 3] for x in b)), count=st.integers(1, 6),
+       block=st.integers(1, 7))
+def test_last_lines_are_those_of_the_whole_file(tmp_path_factory, data, count, block):
+    path = write(tmp_path_factory.mktemp("t"), "x.log", data)
+    old, tail.END_BLOCK_BYTES = tail.END_BLOCK_BYTES, block
+    try:
+        found = lines_of(tail.read_range(path, tail.FileRange(path, 0, len(data), count)))
+    finally:
+        tail.END_BLOCK_BYTES = old
+    assert found == lines_of(tail.read_range(path, tail.FileRange(path, 0, len(data))))[-count:]
+
+
+def test_last_lines_read_the_end_only(tmp_path, monkeypatch):
+    path = write(tmp_path, "x.log", b"line\n" * 1_000_000 + b"unfinished")
+    taken = []
+
+    class Counting:
+        def __init__(self, handle):
+            self.handle = handle
+
+        def seek(self, at):
+            self.handle.seek(at)
+
+        def read(self, size):
+            taken.append(size)
+            return self.handle.read(size)
+
+    size = pathlib.Path(path).stat().st_size
+    with open(path, "rb") as handle:
+        assert tail.last_start(Counting(handle), size, 3) == 999_997 * 5
+    assert sum(taken) == tail.END_BLOCK_BYTES
+
+
+def test_last_lines_of_files(spark, folder):
+    write(folder, "a.log", b"one\r\ntwo\nthree\nfo")
+    write(folder, "b.log", b"only\n")
+    write(folder, "c.log", b"")
+    rows = tail.read(spark, folder, lastLines=2).collect()
+    assert sorted((r["file"].rsplit("/", 1)[1], r["value"], r["position"]) for r in rows) == [
+        ("a.log", "three", 9), ("a.log", "two", 5), ("b.log", "only", 0)]
+    with pytest.raises(Exception, match="lastLines is for batches"):
+        tail.read_stream(spark, folder, lastLines=2).writeStream.format("noop").trigger(
+            availableNow=True).start().awaitTermination()
+
+
+@pytest.mark.parametrize("condition, names", [
+    ("endswith(file, 'b.log')", ["b.log"]), ("contains(file, '/sub/')", ["c.log", "d.log"]),
+    ("file LIKE '%/a.log'", ["a.log"]), ("contains(file, 'log') AND value = 'y'", ["b.log", "d.log"]),
+    ("NOT endswith(file, 'b.log')", ["a.log", "c.log", "d.log"]), ("endswith(file, 'none')", []),
+    ("endswith(file, 'a.log') OR value = 'y'", ["a.log", "b.log", "d.log"]),
+])
+def test_filters_on_files(spark, folder, condition, names):
+    for name, data in [("a.log", b"x\n"), ("b.log", b"y\n"), ("sub/c.log", b"x\n"), ("sub/d.log", b"y\n")]:
+        write(folder, name, data)
+    rows = tail.read(spark, folder).where(condition).collect()
+    assert sorted(r["file"].rsplit("/", 1)[1] for r in rows) == names
+
+
+def test_an_empty_folder_has_no_lines(spark, folder):
+    assert tail.read(spark, folder).count() == 0
+
+
+def test_files_that_a_filter_leaves_out_are_not_opened(spark, folder):
+    paths = [write(folder, f"{name}.log", b"x\n") for name in "abcd"]
+    lines = tail.read(spark, folder)
+    assert lines.rdd.getNumPartitions() == 4
+    for chosen, count in [(lines.where(lines.file == paths[1]), 1), (lines.where(lines.file.isin(paths[:3])), 3),
+                          (lines.where(lines.file.startswith(paths[0][:-5])), 4), (lines.where("contains(file, 'd.l')"), 1)]:
+        assert chosen.rdd.getNumPartitions() == count == chosen.count()
+
+
 def follow(spark, folder, **options):
     lines = tail.read_stream(spark, f"{folder}/in", **options)
     jobs.drain(jobs.write_lines(lines, f"{folder}/out", f"{folder}/checkpoint", interval="0 seconds"))
