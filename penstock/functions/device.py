@@ -137,9 +137,10 @@ def report_full(messages: DataFrame, *keep: str) -> DataFrame:
 
 
 def report_short(messages: DataFrame, *keep: str) -> DataFrame:
-    """One line per message: the three-field report, or the failure with the whole text."""
-    parsed = parse_events(messages.where(F.col("value").isNotNull()), "id", "status")
-    return parsed.select(*keep, F.when(F.col("ok"), short_report()).otherwise(failed_whole()).alias("report"))
+    """One line per message: the three-field report, or the failure with the whole text, which is ``null`` for none."""
+    parsed = parse_events(messages, "id", "status")
+    failed = failed_whole(F.coalesce("value", F.lit("null")))
+    return parsed.select(*keep, F.when(F.col("ok"), short_report()).otherwise(failed).alias("report"))
 
 
 def report_client(messages: DataFrame, *keep: str) -> DataFrame:

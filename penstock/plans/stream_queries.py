@@ -90,14 +90,29 @@ def stream_first_records(spark, sf_dir):
         F.col("sent_partition").alias("partition"), F.col("sent_offset").alias("offset"), "value")
 
 
+def _archive_lines(spark, sf_dir):
+    rows = fixtures.app_logs(_table_stream(spark, sf_dir, "events"))
+    return jobs.with_day(rows.select(logs.compose_line("time_stamp", "level", "message").alias("value"), "arrival_ts"),
+                         F.col("arrival_ts"))
+
+
+def _day_sizes(lines):
+    return lines.groupBy("load_date").agg(F.count("*").alias("lines"), F.sum(F.octet_length("value") + 1).alias("bytes"))
+
+
 def stream_daily_archive(spark, sf_dir):
     folder = fresh_folder(spark, "stream-archive")
-    rows = fixtures.app_logs(_table_stream(spark, sf_dir, "events"))
-    lines = jobs.with_day(rows.select(logs.compose_line("time_stamp", "level", "message").alias("value"),
-                                      "arrival_ts"), F.col("arrival_ts"))
+    lines = _archive_lines(spark, sf_dir)
     jobs.archive_stream(lines, f"{folder}/out", f"{folder}/checkpoint", once=True).awaitTermination()
-    return jobs.read_archive(spark, f"{folder}/out").groupBy("load_date").agg(
-        F.count("*").alias("lines"), F.sum(F.octet_length("value") + 1).alias("bytes"))
+    return _day_sizes(jobs.read_archive(spark, f"{folder}/out"))
+
+
+def stream_rolling_archive(spark, sf_dir):
+    """The same through the sink whose tasks roll their own files."""
+    folder = fresh_folder(spark, "stream-rolling")
+    lines = _archive_lines(spark, sf_dir)
+    jobs.roll_stream(lines, f"{folder}/out", f"{folder}/checkpoint", once=True).awaitTermination()
+    return _day_sizes(jobs.read_rolled(spark, f"{folder}/out"))
 
 
 def stream_tail_files(spark, sf_dir):
@@ -113,7 +128,7 @@ def stream_tail_files(spark, sf_dir):
 QUERIES = {f.__name__: f for f in [
     stream_device_report, stream_log_lake, stream_log_lake_compacted, stream_log_rejects, stream_log_messages,
     stream_message_rejects, stream_first_records, stream_daily_archive,
-    stream_tail_files,
+    stream_rolling_archive, stream_tail_files,
 ]}
 
 ORACLE = {
@@ -126,5 +141,6 @@ ORACLE = {
     "stream_first_records": """
 SELECT CAST(event_id % 4 AS INTEGER) AS "partition", event_id AS "offset", props AS value FROM events""",
     "stream_daily_archive": log_queries.ARCHIVE_SQL,
+    "stream_rolling_archive": log_queries.ARCHIVE_SQL,
     "stream_tail_files": log_queries.SOURCE_LINES_SQL,
 }

@@ -20,12 +20,13 @@ from penstock import session
 from penstock.functions import device, logs
 from penstock.operators import counters, lake
 from penstock.sources import folders, kafka, tail
+from penstock.streaming import rolling
 from penstock.streaming.lake_table import LakeTable
 
 # Commit interval and roll limits.
 COMMIT_INTERVAL = "5 seconds"
 ROLL_INTERVAL = "30 minutes"
-ROLL_BYTES = 134217728
+ROLL_BYTES = rolling.ROLL_BYTES
 DAY_COLUMN = "load_date"
 
 
@@ -216,6 +217,27 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(f"value string, {DAY_COLUMN} string, batch string").text(path).drop("batch")
 
 
+def roll_stream(lines: DataFrame, path: str, checkpoint: str, value: str = "value", prefix: str = rolling.PREFIX,
+                roll_bytes: int = ROLL_BYTES, tasks: int | None = None, interval: str = ROLL_INTERVAL,
+                once: bool = False) -> StreamingQuery:
+    """Lines with their day into gzip text files ``load_date=<day>/<prefix>….txt.gz`` of at most ``roll_bytes`` of text.
+
+    Each line lands once, also over failures; files roll by size and with each trigger. Nothing is shuffled: a task
+    writes its own files, so ``tasks`` (by default the source's) bounds the small ones that a quiet day gets.
+    """
+    rolling.register(lines.sparkSession)
+    rows = lines.select(F.col(value).alias("value"), F.col(DAY_COLUMN).cast("string").alias(DAY_COLUMN))
+    writer = (rows if tasks is None else rows.coalesce(tasks)).writeStream.format(rolling.FORMAT).options(
+        path=folders.qualified(lines.sparkSession, path), log=folders.qualified(lines.sparkSession, f"{checkpoint}/rolled"),
+        dayColumn=DAY_COLUMN, prefix=prefix, rollBytes=roll_bytes)
+    return _started(writer, checkpoint, interval, once)
+
+
+def read_rolled(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of a rolled archive with their day."""
+    return spark.read.schema(f"value string, {DAY_COLUMN} string").text(path)
+
+
 def expire_days(spark: SparkSession, path: str, as_of: str, keep_days: int = 7) -> list[str]:
     """Remove day folders past retention below a root this package writes."""
     names = folders.child_folders(spark, path, f"{DAY_COLUMN}=")

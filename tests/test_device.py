@@ -101,3 +101,10 @@ def test_observed_counts(spark):
     df, seen = counters.observed(spark.range(100), "n", F.col("id") % 4 == 0)
     assert df.count() == 100
     assert seen.get == {"rows": 100, "ok_rows": 25}
+
+
+def test_a_null_message_is_a_line_of_the_short_report_only(spark):
+    messages = spark.createDataFrame([(1, None), (2, "x")], "n int, value string")
+    short = {r["n"]: r["report"] for r in device.report_short(messages, "n").collect()}
+    assert short == {1: device.FAILED_SHORT + "null", 2: device.FAILED_SHORT + "x"}
+    assert [r["n"] for r in device.report_full(messages, "n").collect()] == [2]
