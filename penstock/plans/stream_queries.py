@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from penstock.functions import device, logs
+from penstock.operators import counters
 from penstock.plans import device_queries, fixtures, log_queries
 from penstock.session import conf, fresh_folder
 from penstock.sources import kafka, tail
@@ -115,6 +116,21 @@ def stream_rolling_archive(spark, sf_dir):
     return _day_sizes(jobs.read_rolled(spark, f"{folder}/out"))
 
 
+def stream_batch_counts(spark, sf_dir):
+    """What the batches of a running stream counted, read from the table of counts afterwards."""
+    folder = fresh_folder(spark, "stream-counts")
+    fixtures.table(spark, sf_dir, "events").select("event_id").repartition(4).write.parquet(f"{folder}/in")
+    events = spark.readStream.schema("event_id long").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    counted = counters.observed_stream(events, "events", counters.is_progress_mark(F.col("event_id") + 1))
+    with counters.kept_counts(spark, f"{folder}/counts") as keeper:
+        query = jobs.write_lines(counted, f"{folder}/out", f"{folder}/checkpoint", once=True)
+        if not keeper.wait(query) or keeper.failed:
+            raise RuntimeError(f"counts are incomplete: {keeper.failed}")
+    return counters.read_counts(spark, f"{folder}/counts").groupBy("name").agg(
+        F.sum("input_rows").alias("input_rows"), F.sum("counts.rows").alias("rows"),
+        F.sum("counts.ok_rows").alias("marks"))
+
+
 def stream_tail_files(spark, sf_dir):
     """Log files followed by the tail source until nothing is left, in capped batches."""
     folder = fresh_folder(spark, "stream-tail")
@@ -128,7 +144,7 @@ def stream_tail_files(spark, sf_dir):
 QUERIES = {f.__name__: f for f in [
     stream_device_report, stream_log_lake, stream_log_lake_compacted, stream_log_rejects, stream_log_messages,
     stream_message_rejects, stream_first_records, stream_daily_archive,
-    stream_rolling_archive, stream_tail_files,
+    stream_rolling_archive, stream_batch_counts, stream_tail_files,
 ]}
 
 ORACLE = {
@@ -142,5 +158,8 @@ ORACLE = {
 SELECT CAST(event_id % 4 AS INTEGER) AS "partition", event_id AS "offset", props AS value FROM events""",
     "stream_daily_archive": log_queries.ARCHIVE_SQL,
     "stream_rolling_archive": log_queries.ARCHIVE_SQL,
+    "stream_batch_counts": """
+SELECT 'events' AS name, count(*) AS input_rows, count(*) AS rows, count(*) FILTER ((event_id + 1) % 10 = 0) AS marks
+FROM events HAVING count(*) > 0""",
     "stream_tail_files": log_queries.SOURCE_LINES_SQL,
 }
