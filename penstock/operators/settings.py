@@ -18,6 +18,8 @@ CLUSTER_GROUPS = {
     "producer": "SERVER PRODUCER CONFIGURATION",
     "consumer": "SERVER CONSUMER CONFIGURATION",
 }
+ABOUT_GROUP = "GLOBAL CONFIG"
+ABOUT_FIELDS = ["Version", "Author", "Description", "Environment"]
 TOPIC_GROUPS = {"producer": "PRODUCER SETTINGS", "consumer": "CONSUMER SETTINGS"}
 
 _ENTRY = ["cluster", "topic", "role", "key"]
@@ -134,8 +136,25 @@ def lookup(requests: DataFrame, defaults: DataFrame, overrides: DataFrame) -> Da
     )
 
 
+def about(values: DataFrame) -> DataFrame:
+    """The lines that head a listing, ``Field: value``, from a table ``(key, value)`` with keys in any case.
+
+    All four fields have a line, ``null`` where the table names no value; other keys have none, and of
+    a repeated key the smallest value counts.
+    """
+    given = values.groupBy(F.lower("key").alias("at")).agg(F.min("value").alias("value"))
+    fields = values.sparkSession.createDataFrame([(f,) for f in ABOUT_FIELDS], "key string")
+    found = fields.join(given, F.lower(fields["key"]) == given["at"], "left")
+    none = F.lit(None).cast("string")
+    return found.select(none.alias("cluster"), none.alias("topic"), "key", F.lit(ABOUT_GROUP).alias("group_name"),
+                        F.concat("key", F.lit(": "), F.coalesce("value", F.lit("null"))).alias("line"))
+
+
 def listing(defaults: DataFrame, overrides: DataFrame) -> DataFrame:
-    """One text line per setting: three groups per cluster, two per topic (with inherited defaults)."""
+    """One text line per setting: three groups per cluster, two per topic (with inherited defaults).
+
+    :func:`about` gives the lines above them.
+    """
     def titles(names: Mapping[str, str]):
         title = F.when(F.lit(False), F.lit(""))
         for role, text in names.items():

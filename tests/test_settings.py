@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from penstock.operators import settings
 from penstock.sources import kafka
@@ -90,6 +91,17 @@ def test_listing_pads_keys(tables):
     assert lines["T1", "CONSUMER SETTINGS", "group.id"] == "  group.id" + " " * 22 + " = G1"
 
 
+def test_about_lines_head_a_listing(spark, tables):
+    values = spark.createDataFrame([("version", "1.2"), ("AUTHOR", "a"), ("description", None), ("other", "x"),
+                                    ("author", "b")], "key string, value string")
+    both = settings.about(values).unionByName(settings.listing(*tables))
+    found = {r["key"]: r["line"] for r in both.where(F.col("group_name") == settings.ABOUT_GROUP).collect()}
+    assert found == {"Version": "Version: 1.2", "Author": "Author: a", "Description": "Description: null",
+                     "Environment": "Environment: null"}
+    assert both.where("cluster is null").count() == 4
+    assert settings.about(values.where("false")).count() == 4
+
+
 def test_long_key_stays_whole(spark):
     key = "k" * 40
     entries = settings.from_nested(spark, {"c": {"server": {key: "v"}}})
