@@ -13,6 +13,7 @@ from penstock.sources import kafka, tail
 from penstock.streaming import jobs
 
 PLACE = device_queries.PLACE
+BATCH_BYTES, SPLIT_BYTES = 64 << 20, 4 << 20
 
 
 def _table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,9 +82,12 @@ def stream_first_records(spark, sf_dir):
     """Records that were sent more than once, some in later batches, read once each."""
     folder = fresh_folder(spark, "stream-repeats")
     sent = fixtures.repeated_records(fixtures.table(spark, sf_dir, "events"))
-    sent.write.partitionBy("sending").parquet(f"{folder}/in")
+    # A file is a batch: their size does not depend on how many tasks read the table, and several tasks read one file.
+    with conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": BATCH_BYTES}):
+        sent.hint("rebalance", "sending").write.partitionBy("sending").option("parquet.block.size", SPLIT_BYTES).parquet(
+            f"{folder}/in")
     records = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-    with conf(spark, kafka.STATE_STORE):
+    with conf(spark, kafka.state_settings(spark)):
         once = kafka.first_of_each(kafka.with_sent_place(records.drop("sending")), "sent_topic", "sent_partition",
                                    "sent_offset")
         jobs.write_lines(once, f"{folder}/out", f"{folder}/checkpoint", once=True).awaitTermination()

@@ -25,6 +25,7 @@ MANAGED_KEYS = [
 ]
 EARLIEST, READ_COMMITTED = "earliest", "read_committed"
 RECORD_ID = "record_id"
+_SHARE, _TAIL = "_share", "_tail"
 
 # The setting names Kafka 3.9 clients know, from its public documentation.
 _COMMON_KEYS = """
@@ -157,32 +158,45 @@ def drop_repeats(records: DataFrame) -> DataFrame:
 
 def with_sent_place(records: DataFrame) -> DataFrame:
     """Where a record was read before it was sent, from its id: ``sent_topic``, ``sent_partition``, ``sent_offset``."""
-    def part(number: int) -> Column:
-        return F.regexp_extract(RECORD_ID, r"\A(.*)-(\d+)-(\d+)\z", number)
-
-    return records.withColumns({"sent_topic": part(1), "sent_partition": F.nullif(part(2), F.lit("")).cast("int"),
-                                "sent_offset": F.nullif(part(3), F.lit("")).cast("long")})
+    # One regular expression a row: without the generator, a filter on a part of the place would repeat it.
+    parts = records.withColumn(_TAIL, once(F.regexp_extract(RECORD_ID, r"\A.*-(\d+-\d+)\z", 1)))
+    topic = F.when(F.col(_TAIL) == "", "").otherwise(F.left(RECORD_ID, F.length(RECORD_ID) - F.length(_TAIL) - 1))
+    partition, offset = (F.when(F.col(_TAIL) != "", F.substring_index(_TAIL, "-", side).cast(kind))
+                         for side, kind in ((1, "int"), (-1, "long")))
+    return parts.withColumns({"sent_topic": topic, "sent_partition": partition, "sent_offset": offset}).drop(_TAIL)
 
 
 def first_of_each(records: DataFrame, topic: str = "topic", partition: str = "partition",
-                  offset: str = "offset") -> DataFrame:
+                  offset: str = "offset", shares: int = 32) -> DataFrame:
     """A stream of records without those that came before, in any batch of this query, restarts included.
 
     For readers of a sink that writes at least once: name the columns of the sent place (:func:`with_sent_place`). State is
-    kept per topic and partition and holds the gaps between offsets only, so it needs no watermark and does not
-    grow with the stream. Rows with a null in one of the three have no place and pass. The query needs the state
-    store named by :data:`STATE_STORE`.
+    kept per topic, partition and one of ``shares`` that runs of its offsets are dealt over, so that one partition occupies
+    many tasks; a checkpoint keeps its number. State holds the gaps between offsets only, so it needs no watermark and
+    does not grow with the stream, and a batch touches the part of it around its own offsets. Rows with a null in one of
+    the three have no place and pass. The query needs the settings of :func:`state_settings`.
     """
     cloudpickle.register_pickle_by_value(sys.modules[seen_offsets.__name__])  # workers need no copy of this package
     placed = F.col(topic).isNotNull() & F.col(partition).isNotNull() & F.col(offset).isNotNull()
-    once = records.where(placed).groupBy(topic, partition).transformWithStateInPandas(
-        seen_offsets.SeenOffsets(offset), records.schema, outputMode="Append", timeMode="None")
+    shared = records.where(placed).withColumn(_SHARE, seen_offsets.share_of(F.col(offset), shares))
+    once = shared.groupBy(topic, partition, _SHARE).transformWithStateInPandas(
+        seen_offsets.SeenOffsets(offset, records.columns, shares), records.schema, outputMode="Append", timeMode="None")
     return once.union(records.where(~placed))
 
 
 #: Session settings of queries with this kind of state.
 STATE_STORE = {"spark.sql.streaming.stateStore.providerClass":
-               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+               "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+
+
+def state_settings(spark: SparkSession, parts: int | None = None) -> dict[str, str | int]:
+    """The same with the number of parts of the state, each of which costs a task in every batch, used or not.
+
+    By default as many as the cluster has cores now. The first run's number holds for the life of a checkpoint: name
+    one for a query that begins on a small cluster.
+    """
+    return STATE_STORE | {"spark.sql.shuffle.partitions": parts or spark.sparkContext.defaultParallelism}
 
 
 def within_size(messages: DataFrame, limit: int, value: str = "value") -> tuple[DataFrame, DataFrame]:
